@@ -6,7 +6,11 @@ from importlib import import_module
 
 #: Query name -> (module, function); modules load when a query is first used.
 _NAMED = {
+    "op1_quality_rules": ("quality", "op1"),
     "op4_simhash_near_dedup": ("simhash", "op4"),
+    "op5_warc_archive": ("warc", "op5"),
+    "op8_token_counts": ("token_counts", "op8"),
+    "op10_chat_formatting": ("chat", "op10"),
 }
 
 
