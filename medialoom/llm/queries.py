@@ -10,6 +10,7 @@ _NAMED = {
     "op4_simhash_near_dedup": ("simhash", "op4"),
     "op5_warc_archive": ("warc", "op5"),
     "op8_token_counts": ("token_counts", "op8"),
+    "op9_substring_dedup": ("substring", "op9"),
     "op10_chat_formatting": ("chat", "op10"),
 }
 
