@@ -7,6 +7,7 @@ from importlib import import_module
 #: Query name -> (module, function); modules load when a query is first used.
 _NAMED = {
     "op1_quality_rules": ("quality", "op1"),
+    "op2_recurrent_lm": ("recurrent_lm", "op2"),
     "op4_simhash_near_dedup": ("simhash", "op4"),
     "op5_warc_archive": ("warc", "op5"),
     "op8_token_counts": ("token_counts", "op8"),
