@@ -10,6 +10,8 @@ _NAMED = {
     "op2_recurrent_lm": ("recurrent_lm", "op2"),
     "op4_simhash_near_dedup": ("simhash", "op4"),
     "op5_warc_archive": ("warc", "op5"),
+    "op6_piece_fst": ("piece_fst", "op6"),
+    "op7_decontamination": ("decontaminate", "op7"),
     "op8_token_counts": ("token_counts", "op8"),
     "op9_substring_dedup": ("substring", "op9"),
     "op10_chat_formatting": ("chat", "op10"),
