@@ -8,6 +8,7 @@ from importlib import import_module
 _NAMED = {
     "op1_quality_rules": ("quality", "op1"),
     "op2_recurrent_lm": ("recurrent_lm", "op2"),
+    "op3_license_scan": ("licenses", "op3"),
     "op4_simhash_near_dedup": ("simhash", "op4"),
     "op5_warc_archive": ("warc", "op5"),
     "op6_piece_fst": ("piece_fst", "op6"),
