@@ -1,7 +1,7 @@
 """Scans: landed scraper payloads, dimensions, tasks, question sheets; and a Python source.
 
-``ScraperSource`` is a Python data source whose date and limit options are pushed to the
-scraper; offline it serves payloads from a callable registered per platform.
+``scraper_source`` makes a Python data source whose requests carry limits, dates, periods
+and languages to the scraper; scrapers are callables registered per platform.
 """
 
 from __future__ import annotations
@@ -69,44 +69,50 @@ def scrape_request(platform: str, params: list[str], task: dict) -> dict:
     return {k: v for k, v in out.items() if v is not None}
 
 
-#: Offline scrapers by platform: request -> payloads.
+#: Scrapers by platform: request -> payloads.
 SCRAPERS: dict[str, Callable[[dict], list[dict]]] = {}
 
 
-class _Query(InputPartition):
+class Query(InputPartition):
     def __init__(self, request: dict):
         self.request = request
 
 
-class _ScraperReader(DataSourceReader):
-    def __init__(self, platform: str, requests: list[dict], scrape: Callable[[dict], list[dict]]):
-        self.platform, self.requests, self.scrape = platform, requests, scrape
+class ScraperReader(DataSourceReader):
+    """One partition a request, in their order."""
+
+    def __init__(self, requests: list[dict], scrape: Callable[[dict], list[dict]]):
+        self.requests, self.scrape = requests, scrape
 
     def partitions(self):
-        return [_Query(r) for r in self.requests]
+        return [Query(r) for r in self.requests]
 
     def read(self, partition) -> Iterator[tuple]:
         for k, item in enumerate(self.scrape(partition.request)):
             yield json.dumps(item, ensure_ascii=False), k
 
 
-class ScraperSource(DataSource):
-    """Options: platform, requests (a JSON list, one partition each)."""
+def scraper_source(platform: str) -> type[DataSource]:
+    """A data source of its own for a platform: its scraper travels inside the class."""
+    scrape = SCRAPERS[platform]
+
+    class Scraper(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return f"scraper_{platform}"
 
-    @classmethod
-    def name(cls) -> str:
-        return "scraper"
+        def schema(self) -> str:
+            return "raw string, position long"
 
-    def schema(self) -> str:
-        return "raw string, position long"
+        def reader(self, schema) -> DataSourceReader:
+            return ScraperReader(json.loads(self.options["requests"]), scrape)
 
-    def reader(self, schema) -> DataSourceReader:
-        platform = self.options["platform"]
-        return _ScraperReader(platform, json.loads(self.options["requests"]), SCRAPERS[platform])
+    return Scraper
 
 
 def scraped(spark: SparkSession, platform: str, requests: list[dict]) -> DataFrame:
-    """(raw, _ord) of all requests, in their order; one request is one partition."""
-    spark.dataSource.register(ScraperSource)
-    df = spark.read.format("scraper").option("platform", platform).option("requests", json.dumps(requests)).load()
+    """(raw, _ord) of all requests, in their order."""
+    source = scraper_source(platform)
+    spark.dataSource.register(source)
+    df = spark.read.format(source.name()).option("requests", json.dumps(requests)).load()
     return df.select("raw", F.monotonically_increasing_id().alias("_ord"))
