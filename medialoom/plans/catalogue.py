@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from medialoom.functions import coerce, text, urls
 from medialoom.functions.python_text import clean_html, snippet
-from medialoom.operators import filters, lookups, mappers, schema, state
+from medialoom.operators import analysis, filters, lookups, mappers, schema, state
 from medialoom.operators.schemas import compiler
 from medialoom.plans import pipeline, tasks
 from medialoom.sources import sinks
@@ -600,6 +600,42 @@ def map_x(s, d):
     return m.select(F.col("_ord").alias("doc_id"), "source", "url", "post_type", "likes", "language", F.array_join("media_urls", "|").alias("media"))
 
 
+@query(
+    "analysis_meta_fields",
+    r"""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'Single Video' END AS post_format, CAST(len(regexp_extract_all(text, '(^|[^\p{L}\p{M}\p{N}_])#[\p{L}\p{M}\p{N}_]')) AS INTEGER) AS hashtags, 0.0 AS emoji_pct FROM documents""",
+)
+def analysis_meta_fields(s, d):
+    kind = F.when(F.col("doc_id") % 2 == 0, "Reel").otherwise("Text")
+    m = analysis.meta_fields(F.col("text"), kind)
+    return read(s, d, "documents").select("doc_id", m["post_format"].alias("post_format"), m["hashtag_count"].alias("hashtags"), m["emoji_pct"].alias("emoji_pct"))
+
+
+@query("section_questions", "SELECT section, string_agg(no || '. q' || no, chr(10) ORDER BY k) AS questions FROM (SELECT 'plot' AS section, unnest([40, 41, 43, 45]) AS no, unnest([1, 2, 3, 4]) AS k UNION ALL SELECT 'comments', unnest([69, 70, 71]), unnest([1, 2, 3])) GROUP BY 1")
+def section_questions(s, d):
+    sheet = s.createDataFrame([(str(n), f"q{n}") for n in (40, 41, 43, 45, 69, 70, 71, 99)] + [("Total", "x")], "no string, question string")
+    return lookups.section_questions(analysis.section_table(s), sheet)
+
+
+@query("analysis_records")
+def analysis_records(s, d):
+    """Every post described by a stand-in model that fails on one section."""
+    p = posts(s, d).withColumn("post_type", F.lit("Reel"))
+    q = section_questions(s, d)
+    return analysis.records(p, analysis.answered(analysis.prompts(p, q), _describe))
+
+
+def _describe(prompt: str) -> dict:
+    if prompt.startswith("Section: plot"):
+        raise ValueError("no answer")
+    return {"said": len(prompt)}
+
+
+@query("parser_gap_fill", "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN url ELSE 'second' END AS title FROM pages")
+def parser_gap_fill(s, d):
+    first = F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise("")
+    return read(s, d, "pages").select("page_id", analysis.fill_gaps(first, F.lit("second")).alias("title"))
+
+
 def flagship(s: SparkSession, d: str) -> DataFrame:
     """Map, filter, normalise, and count the messages by language and outcome."""
     c = pipeline.Context({"task_id": "t1", "not_keywords": KEYWORDS, "language": None}, Providers())

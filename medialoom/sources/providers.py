@@ -81,3 +81,31 @@ def extracted_articles(pages: DataFrame) -> DataFrame:
     heading = bare(F.regexp_extract(html, r"(?is)<h1\b[^>]*>(.*?)</h1>", 1))
     title = bare(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title>", 1))
     return pages.select("url", F.coalesce(falsy(heading), falsy(title)).alias("title"), F.coalesce(falsy(body), falsy(whole)).alias("body"))
+
+
+PAGE_BYTES = 10_000_000
+
+
+def page_provider(fetch: Callable[[str], tuple[str, str] | None], tries: int = TRIES, pause: float = PAUSE_S) -> Callable[[DataFrame], DataFrame]:
+    """(url, final_url, html) of ``url`` rows; pages that fail or are too large are null.
+
+    ``fetch`` returns (html, final URL); each distinct URL is fetched once.
+    """
+    get = with_retries(fetch, tries, pause)
+
+    def one(url: str) -> tuple[str | None, str | None]:
+        try:
+            html, final = get(url)
+        except Exception:
+            return None, None
+        return (None, final) if len(html.encode()) > PAGE_BYTES else (html, final)
+
+    def provider(links: DataFrame) -> DataFrame:
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                got = [one(u) for u in f["url"]]
+                yield f.assign(final_url=[g[1] for g in got], html=[g[0] for g in got])
+
+        return links.select("url").where("url IS NOT NULL").distinct().mapInPandas(run, "url string, final_url string, html string")
+
+    return provider

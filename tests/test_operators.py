@@ -307,3 +307,31 @@ def test_stream(spark, tmp_path):
     q = incremental.run_available(incremental.unseen(stream), lambda df, n: got.extend(r.url for r in df.collect()), f"{tmp_path}/ck")
     q.awaitTermination(60)
     assert sorted(got) == ["u", "v"]
+
+
+def test_analysis_isolates_failed_sections(spark):
+    from medialoom.operators import analysis
+
+    d = docs(spark, {"url": "u", "body": "#a b", "post_type": "Reel", "n_comments": 3})
+    q = spark.createDataFrame([("plot", "40. q"), ("character", "29. q")], "section string, questions string")
+
+    def answer(prompt):
+        if "character" in prompt:
+            raise RuntimeError("down")
+        return {"summary": "s"}
+
+    r = analysis.records(d, analysis.answered(analysis.prompts(d, q), answer)).first()
+    assert json.loads(r["plot"]) == {"summary": "s"} and r["characters"] == [] and r["character_count_label"] is None
+    assert r["post_info"].meta.hashtag_count == 1 and r["comment_insights"].comment_count == 3
+
+
+def test_pages_are_fetched_once_and_guarded(spark):
+    from medialoom.sources.providers import page_provider
+
+    def fetch(url):
+        if url == "bad":
+            raise OSError
+        return ("x" * (11_000_000 if url == "big" else 3), url + "/final")
+
+    got = {r.url: (r.final_url, r.html) for r in page_provider(fetch, pause=0)(spark.createDataFrame([("a",), ("a",), ("bad",), ("big",), (None,)], "url string")).collect()}
+    assert got == {"a": ("a/final", "xxx"), "bad": (None, None), "big": ("big/final", None)}
