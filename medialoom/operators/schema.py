@@ -99,8 +99,8 @@ class Compiler:
                 out[f] = self.structs(spec.of, v, typed_root or out)
             else:
                 picked = [parsed(spec.kind, v) for v in (own, base) if v is not None and v.type is not None]
-                if not picked:
-                    picked = [parsed(spec.kind, absent())]
+                if not picked:  # nothing to parse: keeps the plan of a wide schema small
+                    picked = [(F.array() if spec.kind in ("urls", "list") else F.lit(None)).cast(LEAVES[spec.kind])]
                 if spec.kind in ("urls", "list") and len(picked) > 1:
                     picked = [F.when(own.col.isNotNull(), picked[0]).otherwise(picked[1])]
                 out[f] = picked[0] if len(picked) == 1 else F.coalesce(*picked)
