@@ -47,12 +47,21 @@ def records(pages: DataFrame) -> DataFrame:
     return p.select("*", F.sha2("payload", 256).alias("key"), base32_of_hex(F.sha1("payload")).alias("sha1"), F.octet_length("payload").cast("long").alias("bytes"))
 
 
+def payload_table(path: str) -> str:
+    return "warc_" + hashlib.sha256(path.encode()).hexdigest()[:24]
+
+
 def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
-    """Write ``path/headers`` and ``path/payloads``."""
+    """Write ``path/headers`` and ``path/payloads``, the latter bucketed by key.
+
+    Bucketing lets readers in this catalog join without moving the payloads again.
+    """
     r = records(pages)
     first = r.groupBy("key").agg(F.min("page_id").alias("first_id"))
     kept = r.select("key", "page_id", "payload").join(first, "key").where("page_id <=> first_id").dropDuplicates(["key"])
-    kept.select("key", "payload").write.parquet(f"{path}/payloads")
+    buckets = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    name = payload_table(path)
+    kept.select("key", "payload").write.bucketBy(buckets, "key").sortBy("key").option("path", f"{path}/payloads").saveAsTable(name)
     h = r.select("page_id", "url", "key", "sha1", "bytes").join(first, "key")
     revisit = (F.col("bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     urn = lambda c: F.concat(F.lit(f"<{URN}"), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit(">\r\n"))
@@ -76,8 +85,9 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """page_id, key, record (the exact WARC record bytes), payload (in full, for revisits too)."""
-    h, p = spark.read.parquet(f"{path}/headers"), spark.read.parquet(f"{path}/payloads")
-    block = F.when(F.position(F.lit(b"WARC-Type: revisit\r\n"), F.col("header")) > 0, F.lit(b"")).otherwise(F.col("payload"))
+    h, name = spark.read.parquet(f"{path}/headers"), payload_table(path)
+    p = spark.table(name) if spark.catalog.tableExists(name) else spark.read.parquet(f"{path}/payloads")
+    block = F.when(F.startswith("header", F.lit(b"WARC/1.1\r\nWARC-Type: revisit\r\n")), F.lit(b"")).otherwise(F.col("payload"))
     return h.join(p, "key").select("page_id", "key", F.concat("header", block, F.lit(TAIL)).alias("record"), "payload")
 
 
