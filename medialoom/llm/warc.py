@@ -58,10 +58,11 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     """
     r = records(pages)
     first = r.groupBy("key").agg(F.min("page_id").alias("first_id"))
-    kept = r.select("key", "page_id", "payload").join(first, "key").where("page_id <=> first_id").dropDuplicates(["key"])
+    # rows of one key have one payload, so any of them will do: payloads move once
+    kept = r.select("key", "payload").dropDuplicates(["key"])
     buckets = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     name = payload_table(path)
-    kept.select("key", "payload").write.bucketBy(buckets, "key").sortBy("key").option("path", f"{path}/payloads").saveAsTable(name)
+    kept.write.bucketBy(buckets, "key").sortBy("key").option("path", f"{path}/payloads").saveAsTable(name)
     h = r.select("page_id", "url", "key", "sha1", "bytes").join(first, "key")
     revisit = (F.col("bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     urn = lambda c: F.concat(F.lit(f"<{URN}"), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit(">\r\n"))
