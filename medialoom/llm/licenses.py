@@ -1,9 +1,11 @@
 """License detection by TF-IDF cosine and inheritance down the directory tree.
 
-Every line of a file (its headers) and every whole file (a licence file) is a sparse
-TF-IDF vector; one whose cosine to a template reaches ``THRESHOLD`` declares that
-template's license.  Document frequencies of the template terms cover all lines of the
-corpus; any other term counts as one that no line has, which makes it weigh most.
+Every line of a file (its headers), every sentence of a line and every whole file (a
+licence file) is a sparse TF-IDF vector; one whose cosine to a template reaches
+``THRESHOLD`` declares that template's license.  Document frequencies of the template
+terms cover all lines of the corpus; a template term that no line has weighs as much as
+the rarest that some line has, any other term as one that no line has, which is most.
+``RESERVED``, which stands beside many licenses, only counts where nothing else does.
 
 A file that declares nothing takes the license of the licence file in its nearest
 ancestor directory: distinct directories are joined with their ancestors' licence
@@ -41,8 +43,11 @@ TEMPLATES = {
     "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0"],
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction", "SPDX-License-Identifier: MIT"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
-    "Proprietary": ["Copyright. All rights reserved."],
+    "Proprietary": ["All rights reserved.", "Copyright. All rights reserved."],
 }
+RESERVED = "Proprietary"
+#: A sentence ends before these; "all rights reserved" is one wherever it starts.
+_SENTENCE = re.compile(rb"(?<=[.;:!?])\s+|[\s,]+(?=all\s+rights\s+reserved)", re.IGNORECASE)
 _TERM = re.compile(rb"[0-9a-z\x80-\xff]+(?:\.[0-9]+)?")
 TERMS = sorted({t for v in TEMPLATES.values() for x in v for t in _TERM.findall(x.lower().encode())})
 
@@ -51,6 +56,18 @@ def terms(line: bytes) -> Counter:
     return Counter(_TERM.findall(line.lower()))
 
 
+def passages(text: bytes) -> Iterator[bytes]:
+    """The whole text, its lines, and the sentences of lines that have several."""
+    yield text
+    lines = text.split(b"\n")
+    for x in lines:
+        if len(lines) > 1:
+            yield x
+        parts = _SENTENCE.split(x)
+        if len(parts) > 1:
+            yield from parts
+
+
 def frequencies(files: DataFrame) -> tuple[dict[bytes, int], int]:
     """In how many lines of the corpus each template term stands; the number of lines."""
     schema = T.StructType.fromDDL("term binary, n long")
@@ -73,7 +90,8 @@ def frequencies(files: DataFrame) -> tuple[dict[bytes, int], int]:
 
 class Scorer:
     def __init__(self, df: dict[bytes, int], lines: int):
-        self.idf = {t: math.log((1 + lines) / (1 + df.get(t, 0))) + 1 for t in TERMS}
+        rarest = min((n for t, n in df.items() if n), default=0)
+        self.idf = {t: math.log((1 + lines) / (1 + df.get(t, rarest))) + 1 for t in TERMS}
         self.rest = math.log(1 + lines) + 1
         self.vectors = [(name, self.unit(terms(x.encode()))) for name in sorted(TEMPLATES) for x in TEMPLATES[name]]
 
@@ -104,17 +122,16 @@ def declared(files: DataFrame) -> DataFrame:
     schema = T.StructType.fromDDL("doc_id long, path string, license string, score double, whole_file boolean")
 
     def judge(s: Scorer, text: bytes) -> tuple[str | None, float | None, bool]:
-        found: list[tuple[float, str, bool]] = []
-        parts = text.split(b"\n")
-        for k, x in enumerate(parts if len(parts) == 1 else [*parts, text]):
+        found: list[tuple[bool, float, str, bool]] = []
+        for x in passages(text):
             tf = terms(x)
             if s.bound(tf) >= THRESHOLD:
                 c, name = s.best(tf)
                 if c >= THRESHOLD:
-                    found.append((-c, name, len(parts) == 1 or k == len(parts)))
+                    found.append((name == RESERVED, -c, name, x is text))
         if not found:
             return None, None, False
-        c, name, _ = min(found)
+        _, c, name, _ = min(found)
         return name, -c, any(w for *_, w in found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
