@@ -1,46 +1,46 @@
 """Log-likelihood of whole documents under a gated recurrent language model.
 
-Tokens are words with A-Z folded, then one end.  The softmax is factored by class:
-P(word | history) = P(class | state) * P(word | class).  The frequent words are classes
-of their own, further words share classes by their ending; P(word | class) is the
-word's smoothed share of its class over all training tokens, and the state is that of
-a gated recurrent unit over classes,
-
-    h = f(x) * h + (1 - f(x)) * z(x),   P(class) = softmax(h W + b),
-
-trained in numpy by back-propagation through windows of ``STEPS`` tokens, the state
-carried from window to window, over every training document.  Each task trains a
-replica from a common start; parameters are averaged by position, weighted by tokens,
-with a grouped sum.  Scoring carries the state through the whole document.
-
-Word counts cover all training tokens.  The ``HEAD`` most frequent words (a fixed
-bound) travel to the workers; the rest, each rare, are looked up by an equi-join, so no
-frequent word ever meets in one task.
+Tokens are words with A-Z folded, then one end.  The texts are read once:
+
+1. Encoding.  Each task numbers the words it meets and writes its documents as numbers,
+   in chunks with a vocabulary each (at most ``VOCABULARY`` words, ``CHUNK_TOKENS``
+   tokens), with the vocabulary's counts in training documents.
+2. Counts.  The vocabularies are grouped by word: exact counts of all words, from which
+   the ``HEAD`` most frequent get a place each in the factored softmax of
+   ``gated_network``; any other word shares the last place of a class, chosen by a hash
+   of its ending, and has its smoothed unigram share of that place's mass.
+3. Coding.  Counts and places are joined to the vocabularies (a word has one row per
+   chunk, so a frequent word never meets in one task as often as it occurs), and each
+   chunk's documents are written as codes.
+4. Training.  Training documents are dealt by a hash of their id to units of about
+   ``UNIT`` tokens and ``ROUNDS`` rounds.  In a round every unit trains a replica of the
+   average so far; replicas are averaged, weighted by tokens, by partial sums in a tree.
+   Units depend on the documents alone, so scores do not depend on the partitioning.
+5. Scoring carries the state through every whole document.
 
 Defined cases: null text reads as empty (one end token); a null doc_id is held out;
-unknown words share one smoothing slot of their class; rows repeat as given; an empty
-table gives an empty result, and without training rows the model is uniform over
-classes.
+unknown words share one smoothing slot of their place; rows repeat as given; an empty
+table gives an empty result, and without training rows the model is as it starts.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+import zstandard
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from medialoom.llm.common import batch_of, materialise, pick, table, texts_of
+from medialoom.llm import gated_network as net
+from medialoom.llm.common import batch_of, drop_path, materialise, pick, table, texts_of
 
-HEAD = 1 << 18
-SINGLES, ENDINGS, HIDDEN = 64, 64, 24
-CLASSES = SINGLES + ENDINGS
-STEPS, WIDTH, RATE = 32, 128, 0.01
+HEAD = net.CLASSES * (net.SLOTS - 1)
 ALPHA = 0.1
-GROUP_BYTES = 6_000_000
+VOCABULARY, CHUNK_TOKENS, BLOCK_TOKENS, SCORE_TOKENS = 1 << 18, 4_000_000, 1_000_000, 2_000_000
+UNIT, ROUNDS = 250_000, 6
+MOST_SUMS = 32
 END = b"\n"  # no word holds white space
 
 
@@ -48,312 +48,235 @@ def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
 
-def ending(word: bytes) -> int:
-    return SINGLES + (word[-1] * 31 + (word[-2] * 7 if len(word) > 1 else 0) + (word[-3] if len(word) > 2 else 0)) % ENDINGS
-
-
-def start_parameters(class_counts: np.ndarray) -> dict[str, np.ndarray]:
-    r = np.random.default_rng(7)
-    freq = class_counts + 1.0
-    return {
-        "F": (2.0 + r.normal(0, 1.0, (CLASSES, HIDDEN))).astype(np.float32),
-        "Z": r.normal(0, 1.0, (CLASSES, HIDDEN)).astype(np.float32),
-        "W": r.normal(0, 0.05, (HIDDEN, CLASSES)).astype(np.float32),
-        "b": np.log(freq / freq.sum()).astype(np.float32),
-    }
-
-
-def flat(p: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([p[k].ravel() for k in ("F", "Z", "W", "b")])
-
-
-def unflat(v: np.ndarray) -> dict[str, np.ndarray]:
-    a = CLASSES * HIDDEN
-    return {"F": v[:a].reshape(CLASSES, HIDDEN), "Z": v[a : 2 * a].reshape(CLASSES, HIDDEN), "W": v[2 * a : 3 * a].reshape(HIDDEN, CLASSES), "b": v[3 * a :]}
-
-
-def _tables(p) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keep, new = 1 / (1 + np.exp(-p["F"])), np.tanh(p["Z"])
-    return keep, (1 - keep) * new, new
-
-
-def grids(docs: list[np.ndarray]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-    """Documents of like length side by side: (their indices, classes by time, lengths), longest first."""
-    order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
-    for k in range(0, len(order), WIDTH):
-        some = order[k : k + WIDTH]
-        size = np.array([len(docs[i]) for i in some])
-        x = np.zeros((int(size[0]), len(some)), dtype=np.int64)
-        for j, i in enumerate(some):
-            x[: size[j], j] = docs[i]
-        yield some, x, size
-
-
-def windows(x: np.ndarray, size: np.ndarray) -> Iterator[tuple]:
-    """(previous classes, classes, which are real, active columns) of each window in time."""
-    before = np.vstack([np.zeros((1, x.shape[1]), dtype=np.int64), x[:-1]])  # a text starts after an end, class 0
-    for t in range(0, len(x), STEPS):
-        live = int((size > t).sum())
-        part = slice(t, min(t + STEPS, len(x)))
-        yield before[part, :live], x[part, :live], np.arange(part.start, part.stop)[:, None] < size[None, :live], live
-
-
-def forward(p, tables, prev, state):
-    keep, new, _ = tables
-    a, h = keep[prev], new[prev]
-    now = state
-    for t in range(len(prev)):
-        now = a[t] * now + h[t]
-        h[t] = now
-    logits = h.reshape(-1, HIDDEN) @ p["W"] + p["b"]
-    logits -= logits.max(axis=1, keepdims=True)
-    return a, h, logits, now
-
-
-class Trainer:
-    """Adam on one replica."""
-
-    def __init__(self, p: dict[str, np.ndarray]):
-        self.p = {k: v.copy() for k, v in p.items()}
-        self.m = {k: np.zeros_like(v) for k, v in p.items()}
-        self.v = {k: np.zeros_like(v) for k, v in p.items()}
-        self.n = self.tokens = 0
-
-    def learn(self, docs: list[np.ndarray]) -> None:
-        for _, x, size in grids(docs):
-            state = np.zeros((len(size), HIDDEN), dtype=np.float32)
-            for prev, want, real, live in windows(x, size):
-                state = self.step(prev, want, real, state[:live])
-
-    def step(self, prev, want, real, state):
-        p = self.p
-        tables = _tables(p)
-        a, h, logits, last = forward(p, tables, prev, state)
-        prob = np.exp(logits)
-        prob /= prob.sum(axis=1, keepdims=True)
-        n = prev.size
-        prob[np.arange(n), want.ravel()] -= 1
-        prob *= (real.ravel() / max(1, int(real.sum())))[:, None].astype(np.float32)
-        flat_h = h.reshape(n, HIDDEN)
-        back = (prob @ p["W"].T).reshape(h.shape)
-        keep_grad = np.empty_like(h)
-        g = np.zeros_like(state)
-        for t in range(len(prev) - 1, -1, -1):
-            g = g + back[t]
-            back[t] = g
-            keep_grad[t] = g * (h[t - 1] if t else state)
-            g = g * a[t]
-        hot = np.zeros((n, CLASSES), dtype=np.float32)
-        hot[np.arange(n), prev.ravel()] = 1
-        d_keep, d_new = hot.T @ keep_grad.reshape(n, HIDDEN), hot.T @ back.reshape(n, HIDDEN)
-        keep, _, new = tables
-        slope = keep * (1 - keep)
-        self.update({"W": flat_h.T @ prob, "b": prob.sum(axis=0), "F": slope * (d_keep - d_new * new), "Z": d_new * (1 - keep) * (1 - new**2)})
-        self.tokens += int(real.sum())
-        return last
-
-    def update(self, grad) -> None:
-        self.n += 1
-        rate = RATE * min(1.0, self.n / 20) / (1 + self.n / 2000)
-        for k, g in grad.items():
-            self.m[k] = 0.9 * self.m[k] + 0.1 * g
-            self.v[k] = 0.99 * self.v[k] + 0.01 * g * g
-            m, v = self.m[k] / (1 - 0.9**self.n), self.v[k] / (1 - 0.99**self.n)
-            self.p[k] -= (rate * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
-
-
-def log_likelihood(p, docs: list[np.ndarray]) -> np.ndarray:
-    """Natural-log probability of each document's class sequence."""
-    out, tables = np.zeros(len(docs)), _tables(p)
-    for some, x, size in grids(docs):
-        state = np.zeros((len(size), HIDDEN), dtype=np.float32)
-        for prev, want, real, live in windows(x, size):
-            _, _, logits, last = forward(p, tables, prev, state[:live])
-            got = logits[np.arange(prev.size), want.ravel()].astype(np.float64) - np.log(np.exp(logits).sum(axis=1, dtype=np.float64))
-            out[some[:live]] += (got.reshape(real.shape) * real).sum(axis=0)
-            state = last
-    return out
-
-
-class Coder:
-    """Words to classes and counts: the head in a dictionary, others by their ending."""
-
-    def __init__(self, head: list[tuple[bytes, int]]):
-        self.index = {w: i for i, (w, _) in enumerate(head)}
-        self.index.setdefault(END, len(self.index))
-        n = len(self.index)
-        self.count = np.zeros(n + 1, dtype=np.int64)
-        self.count[: len(head)] = [c for _, c in head]
-        self.cls = np.zeros(n + 1, dtype=np.int64)
-        rank = 1  # class 0 is the end's
-        for w, i in self.index.items():
-            if w == END:
-                continue
-            self.cls[i] = rank if rank < SINGLES else ending(w)
-            rank += 1
-        self.end = self.index[END]
-
-    def class_of(self, word: bytes) -> int:
-        i = self.index.get(word, -1)
-        return int(self.cls[i]) if i >= 0 else ending(word)
-
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Index (-1: not in the head) and class of every token, end included; the words not in the head."""
-        get = self.index.get
-        at = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
-        cls, rare = self.cls[at], []
-        for k in np.flatnonzero(at < 0).tolist():
-            rare.append(words[k])
-            cls[k] = ending(words[k])
-        return np.append(at, self.end), np.append(cls, 0), rare
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
-    for b in batches:
-        ids, texts, size = [], [], 0
-        for i, t in zip(b.column(0).to_pylist(), texts_of(b, "text"), strict=True):
-            ids.append(i)
-            texts.append(t)
-            size += len(t)
-            if size > GROUP_BYTES:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-        if ids:
-            yield ids, texts
+class Vocabulary(dict):
+    """Numbers words in order of arrival."""
 
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c) over all training tokens, ends included."""
-    schema = T.StructType.fromDDL("word binary, c long")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c: Counter = Counter()
+def _pack(x: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(x.tobytes())
 
-        def told() -> pa.RecordBatch:
-            return batch_of(schema, word=list(c), c=list(c.values()))
 
-        for ids, texts in _groups(batches):
-            for i, t in zip(ids, texts, strict=True):
-                if not held_out(i):
-                    c.update(t.lower().split())
-                    c[END] += 1
-            if len(c) > 500_000:
-                yield told()
-                c.clear()
-        if c:
-            yield told()
+def _unpack(x: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x, max_output_size=1 << 31), dtype=kind)
 
-    return docs.mapInArrow(run, schema).groupBy("word").agg(F.sum("c").alias("c"))
 
+def encoded(docs: DataFrame) -> DataFrame:
+    """Rows of two kinds by chunk: packed documents (ids, sizes, numbers), and the vocabulary with its training counts."""
+    schema = T.StructType.fromDDL("kind string, chunk long, ids array<long>, sizes binary, numbers binary, words array<binary>, counts array<long>")
 
-def frequent(counts: DataFrame) -> list[tuple[bytes, int]]:
-    """At most ``HEAD`` words, the most frequent first.
+    def row(**given) -> pa.RecordBatch:
+        return batch_of(schema, **{f: [given.get(f)] for f in schema.names})
 
-    The cut is made on a histogram of counts (sixteen bins an octave), so the driver
-    gets the chosen words and no partition's candidates.
-    """
-    size = F.floor(F.log2("c") * 16).cast("int")
-    room, low = HEAD, None
-    for r in sorted(counts.groupBy(size.alias("bin")).count().collect(), key=lambda r: -r.bin):
-        room -= r["count"]
-        if room < 0:
-            break
-        low = r.bin
-    if low is None:
-        return []
-    return sorted(((bytes(r.word), r.c) for r in counts.where(size >= low).collect()), key=lambda x: (-x[1], x[0]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
+        chunk = TaskContext.get().partitionId() << 32
+        words, counts, n_chunk = Vocabulary({END: 0}), np.zeros(0, dtype=np.int64), 0
+        ids, parts, n = [], [], 0
 
-def class_mass(counts: DataFrame, coder) -> np.ndarray:
-    """(2, CLASSES): training tokens and distinct words of each class."""
-    schema = T.StructType.fromDDL("k int, n long, v long")
+        def block() -> pa.RecordBatch:
+            nonlocal counts, ids, parts, n
+            seen = [p for i, p in zip(ids, parts, strict=True) if not held_out(i)]
+            more = np.bincount(np.concatenate(seen), minlength=len(words)) if seen else np.zeros(len(words), dtype=np.int64)
+            more[: len(counts)] += counts
+            out = row(kind="documents", chunk=chunk, ids=ids, sizes=_pack(np.array(list(map(len, parts)), dtype="<i4")), numbers=_pack(np.concatenate(parts)))
+            counts, ids, parts, n = more, [], [], 0
+            return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = coder.value
-        n, v = np.zeros(CLASSES, dtype=np.int64), np.zeros(CLASSES, dtype=np.int64)
         for b in batches:
-            k = np.fromiter((0 if w == END else code.class_of(w) for w in b.column(0).to_pylist()), dtype=np.int64, count=b.num_rows)
-            n += np.bincount(k, weights=b.column(1).to_numpy(), minlength=CLASSES).astype(np.int64)
-            v += np.bincount(k, minlength=CLASSES)
-        yield batch_of(schema, k=np.arange(CLASSES, dtype=np.int32), n=n, v=v)
+            for i, t in zip(b.column(0).to_pylist(), texts_of(b, "text"), strict=True):
+                w = t.lower().split()
+                w.append(END)
+                ids.append(i)
+                parts.append(np.fromiter(map(words.__getitem__, w), dtype="<i4", count=len(w)))
+                n += len(w)
+                n_chunk += len(w)
+                full = len(words) > VOCABULARY or n_chunk > CHUNK_TOKENS
+                if n > BLOCK_TOKENS or full:
+                    yield block()
+                if full:
+                    yield row(kind="words", chunk=chunk, words=list(words), counts=counts)
+                    chunk, words, counts, n_chunk = chunk + 1, Vocabulary({END: 0}), np.zeros(0, dtype=np.int64), 0
+        if ids:
+            yield block()
+        if n_chunk:
+            yield row(kind="words", chunk=chunk, words=list(words), counts=counts)
 
-    out = np.zeros((2, CLASSES), dtype=np.int64)
-    for r in counts.mapInArrow(run, schema).groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
-        out[:, r.k] = r.n, r.v
-    return out
+    return docs.mapInArrow(run, schema)
 
 
-def train(docs: DataFrame, coder, start: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Every task learns from all its training documents; the replicas are averaged."""
-    schema = T.StructType.fromDDL("tokens double, p array<float>")
-    first = docs.sparkSession.sparkContext.broadcast(start)
+def shared_place(word: Column) -> Column:
+    """The code that a word outside the head has: the last place of a class of its ending."""
+    return (F.pmod(F.xxhash64(F.substring(word, -3, 3)), F.lit(net.CLASSES)) * net.SLOTS + net.SLOTS - 1).cast("int")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, own = coder.value, Trainer(first.value)
-        for ids, texts in _groups(batches):
-            own.learn([code(t.lower().split())[1] for i, t in zip(ids, texts, strict=True) if not held_out(i)])
-        if own.tokens:
-            yield batch_of(schema, tokens=[float(own.tokens)], p=[flat(own.p)])
-
-    each = docs.mapInArrow(run, schema).select("tokens", F.posexplode("p").alias("at", "x"))
-    mean = each.groupBy("at").agg((F.sum(F.col("x") * F.col("tokens")) / F.sum("tokens")).alias("x")).collect()
-    if not mean:
-        return start
-    v = np.zeros(len(mean), dtype=np.float32)
-    for r in mean:
-        v[r.at] = r.x
-    return unflat(v)
 
+def head(counts: DataFrame) -> list[bytes]:
+    """The ``HEAD`` most frequent words; of equally frequent ones the smallest.
 
-def score(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
+    A histogram of counts finds the cut, so only words of its last bin are compared.
+    """
+    size = F.floor(F.log2("c") * 16).cast("int")
+    room, low, last = HEAD, None, None
+    for r in sorted(counts.where("c > 0").groupBy(size.alias("bin")).count().collect(), key=lambda r: -r.bin):
+        if r["count"] > room:
+            last = r.bin
+            break
+        room, low = room - r["count"], r.bin
+    found = counts.where((F.col("c") > 0) & (size >= low)).select("word", "c").collect() if low is not None else []
+    if last is not None and room:
+        found += counts.where((F.col("c") > 0) & (size == last)).select("word", "c").repartition(MOST_SUMS).orderBy(F.desc("c"), "word").limit(room).collect()
+    return [bytes(r.word) for r in sorted(found, key=lambda r: (-r.c, bytes(r.word)))]
+
+
+def place(rank: int) -> int:
+    """Code of the word of a rank: neighbours in frequency are in different classes."""
+    return rank % net.CLASSES * net.SLOTS + rank // net.CLASSES
+
+
+def coded(blocks: DataFrame, places: DataFrame, mass: np.ndarray) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, counted (sum of log10 smoothed counts), shares (log10, inside shared places), codes."""
+    schema = T.StructType.fromDDL("doc_id long, held_out boolean, n_tokens long, n_known long, counted double, shares double, codes binary")
+    log_mass = np.log10(np.maximum(mass, ALPHA))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        n = right.num_rows
+        count, code = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        at = right["at"].to_numpy()
+        count[at], code[at] = right["c"].to_numpy(), right["code"].to_numpy()
+        known, logs = (count > 0).astype(np.int64), np.log10(count + ALPHA)
+        share = np.where(code % net.SLOTS == net.SLOTS - 1, logs - log_mass[code], 0.0)
+        short, out = code.astype("<u2"), []
+        for ids, sizes, numbers in zip(left["ids"].to_pylist(), left["sizes"].to_pylist(), left["numbers"].to_pylist(), strict=True):
+            numbers, sizes = _unpack(numbers, "<i4"), _unpack(sizes, "<i4")
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+            sums = [np.add.reduceat(x[numbers], starts) for x in (known, logs, share)]
+            codes = short[numbers]
+            packed = [_pack(codes[a : a + m]) for a, m in zip(starts.tolist(), sizes.tolist(), strict=True)]
+            out.append(batch_of(schema, doc_id=ids, held_out=list(map(held_out, ids)), n_tokens=sizes.astype(np.int64), n_known=sums[0], counted=sums[1], shares=sums[2], codes=packed))
+        return pa.Table.from_batches(out, schema=out[0].schema if out else batch_of(schema, **{f: [] for f in schema.names}).schema)
+
+    places = places.select(F.col("chunk").alias("of_chunk"), "at", "c", "code")
+    return blocks.groupBy("chunk").cogroup(places.groupBy("of_chunk")).applyInArrow(run, schema)
+
+
+def mean_of(replicas: DataFrame, partitions: int) -> np.ndarray | None:
+    """Weighted mean of (tokens, p) rows, p summed already; partial sums in a tree leave at most ``MOST_SUMS`` for the driver."""
+    schema = replicas.schema
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, total = 0.0, np.zeros(net.SIZE)
+        for b in batches:
+            for n, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                tokens += n
+                total += np.frombuffer(p, dtype="<f8")
+        if tokens:
+            yield batch_of(schema, tokens=[tokens], p=[total.tobytes()])
+
+    while partitions > MOST_SUMS:
+        partitions = -(-partitions // MOST_SUMS)
+        replicas = replicas.repartition(partitions).mapInArrow(add, schema)
+    rows = sorted((r.tokens, bytes(r.p)) for r in replicas.collect())
+    return sum(np.frombuffer(p, dtype="<f8") for _, p in rows) / sum(t for t, _ in rows) if rows else None
+
+
+def train(docs: DataFrame, tokens: int, start: dict[str, np.ndarray], end: int) -> dict[str, np.ndarray]:
+    """Rounds of replicas from the average of the round before; ``docs``: doc_id and codes of training documents."""
+    schema = T.StructType.fromDDL("tokens double, p binary")
     spark = docs.sparkSession
-    docs = pick(docs, doc_id="long", text="string")
-    counts, _ = materialise(word_counts(docs), "word-counts")
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    coder = spark.sparkContext.broadcast(Coder(frequent(counts)))
-    n, v = class_mass(counts, coder)
-    mass = n + ALPHA * (v + 1)
-    model = spark.sparkContext.broadcast(train(docs, coder, start_parameters(n)))
-    schema = T.StructType.fromDDL("row long, doc_id long, held_out boolean, n_tokens long, known long, counted double, rest double, rare array<binary>")
+    units = max(1, round(tokens / UNIT))
+    dealt = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(units)).alias("unit"), "doc_id", "codes")
+    now = start
+    for k in range(min(ROUNDS, units)):
+        sent = spark.sparkContext.broadcast(now)
+
+        def learn(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            """The weighted sum of the replicas of a task's units, which arrive one after the other."""
+            total, n, unit, own, held, size = np.zeros(net.SIZE), 0, None, None, [], 0
+            for b in batches:
+                for u, c in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                    if u != unit or size > UNIT:  # a unit that is much larger, by repeated ids, is learned in pieces
+                        if held:
+                            own.learn(held, end)
+                            held, size = [], 0
+                        if u != unit:
+                            if own:
+                                total += net.flat(own.p) * float(own.tokens)
+                                n += own.tokens
+                            unit, own = u, net.Trainer(sent.value)
+                    held.append(_unpack(c, "<u2").astype(np.int64))
+                    size += len(held[-1])
+            if own:
+                own.learn(held, end)
+                total += net.flat(own.p) * float(own.tokens)
+                n += own.tokens
+                yield batch_of(schema, tokens=[float(n)], p=[total.tobytes()])
+
+        some = dealt.where(F.col("unit") % ROUNDS == k)
+        n = min(-(-(units - k) // ROUNDS), 8 * spark.sparkContext.defaultParallelism)
+        each = some.repartition(n, "unit").sortWithinPartitions("unit", "doc_id", "codes").mapInArrow(learn, schema)
+        mean = mean_of(each, n)
+        sent.unpersist()
+        now = now if mean is None else net.unflat(mean)
+    return now
+
+
+def likelihoods(docs: DataFrame, model: dict[str, np.ndarray], end: int) -> DataFrame:
+    """The rows of ``coded`` with like, the log10 probability of their codes, in place of the codes."""
+    schema = T.StructType([*(f for f in docs.schema if f.name != "codes"), T.StructField("like", T.DoubleType())])
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+        for b in batches:
+            packed, sizes = b.column(b.schema.get_field_index("codes")).to_pylist(), b.column(b.schema.get_field_index("n_tokens")).to_numpy()
+            group = (np.cumsum(sizes) - sizes) // SCORE_TOKENS
+            for g in np.unique(group).tolist():
+                at = np.flatnonzero(group == g)
+                like = net.log_likelihood(sent.value, [_unpack(packed[k], "<u2").astype(np.int64) for k in at.tolist()], end) / np.log(10)
+                rows = b.slice(int(at[0]), len(at))
+                yield batch_of(schema, **{f: rows.column(b.schema.get_field_index(f)) for f in schema.names if f != "like"}, like=like)
+
+    return docs.mapInArrow(run, schema)
+
 
-        code, p = coder.value, model.value
-        logs, is_known, row = np.log10(code.count + ALPHA), code.count > 0, TaskContext.get().partitionId() << 33
-        for ids, texts in _groups(batches):
-            coded = [code(t.lower().split()) for t in texts]
-            like = log_likelihood(p, [c for _, c, _ in coded]) / np.log(10)
-            inside = [a[a >= 0] for a, _, _ in coded]
-            yield batch_of(
-                schema,
-                row=np.arange(row, row + len(ids)),
-                doc_id=ids,
-                held_out=[held_out(i) for i in ids],
-                n_tokens=[len(a) for a, _, _ in coded],
-                known=[int(is_known[a].sum()) for a in inside],
-                counted=[float(logs[a].sum()) for a in inside],
-                rest=[float(x - np.log10(mass[c]).sum()) for x, (_, c, _) in zip(like, coded, strict=True)],
-                rare=[r for _, _, r in coded],
-            )
-            row += len(ids)
-
-    part, _ = materialise(docs.mapInArrow(run, schema), "scored")
-    rare = part.select("row", F.explode("rare").alias("word"))
-    known = F.coalesce(F.col("c"), F.lit(0))
-    looked = rare.join(counts, "word", "left").groupBy("row").agg(F.sum(F.log10(known + ALPHA)).alias("more"), F.count("c").alias("more_known"))
-    out = part.drop("rare").join(looked, "row", "left")
-    counted = F.col("counted") + F.coalesce("more", F.lit(0.0))
+def score(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
+    spark = docs.sparkSession
+    chunks, chunks_path = materialise(encoded(pick(docs, doc_id="long", text="string")), "encoded")
+    again = spark.read.schema(chunks.schema).parquet(chunks_path)
+    # an array of a vocabulary is bounded by VOCABULARY
+    entries = chunks.where("kind = 'words'").select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select("chunk", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    counts, counts_path = materialise(entries.groupBy("word").agg(F.sum("n").alias("c")).withColumn("shared", shared_place(F.col("word"))), "word-counts")
+    total = counts.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    top = head(counts)
+    if END not in top:
+        top = [*top[: HEAD - 1], END]  # few words or no training rows: the end has a place whatever its count
+    own = spark.createDataFrame([(w, place(k)) for k, w in enumerate(top)], "word binary, own int")
+    placed = counts.join(F.broadcast(own), "word", "left").select("word", "c", F.coalesce("own", "shared").alias("code"))
+    mass = np.zeros(net.CODES)
+    for r in placed.where("c > 0").groupBy("code").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # at most one row per code
+        mass[r.code] = r.n + ALPHA * r.v
+    mass[net.SLOTS - 1 :: net.SLOTS] += ALPHA
+    end = place(top.index(END))
+    mass[end] = max(mass[end], ALPHA)
+    blocks = again.where("kind = 'documents'").select("chunk", "ids", "sizes", "numbers")
+    found, found_path = materialise(coded(blocks, entries.join(placed, "word").select("chunk", "at", "c", "code"), mass), "coded")
+    model = train(found.where("NOT held_out"), total.n, net.start(mass), end)
     norm = float(np.log10(total.n + ALPHA * (total.v + 1)))
+    out, _ = materialise(likelihoods(found, model, end), "scored")
+    for path in (chunks_path, counts_path, found_path):
+        drop_path(spark, path)
     return out.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        "n_known",
         F.lit(total.n).cast("long").alias("train_tokens"),
-        (counted - F.col("n_tokens") * norm).alias("base_score"),
-        (counted + F.col("rest")).alias("score"),
+        (F.col("counted") - F.col("n_tokens") * norm).alias("base_score"),
+        (F.col("like") + F.col("shares")).alias("score"),
     )
 
 

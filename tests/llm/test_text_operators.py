@@ -13,7 +13,7 @@ import pytest
 
 pt = pytest.importorskip("public_tokenizers")
 
-from medialoom.llm import chat, piece_fst, quality, recurrent_lm, token_counts  # noqa: E402
+from medialoom.llm import chat, gated_network as net, piece_fst, quality, recurrent_lm, token_counts  # noqa: E402
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 ODD = [None, "", " \t\n\x0b\x0c\r", "a", "a b c a b c a b c", "x y z é\n\né\n", "<|endoftext|> <|ENDOFTEXT|> a'll 123", "### $$$ | < >\n### $$$ | < >", "日本 😀 ▁ \x00", "w " * 30000, "one two three. " * 40]
@@ -134,37 +134,98 @@ def test_language_model(spark):
     assert sum(x.score for x in h) > sum(x.base_score for x in h)  # held-out text is likelier under the recurrent model
 
 
-def test_language_model_distribution_and_state():
+def naive_likelihood(p, codes, end):
+    """One word after the other, in plain loops."""
     import numpy as np
 
-    p = recurrent_lm.start_parameters(np.ones(recurrent_lm.CLASSES))
-    r = np.random.default_rng(0)
-    long = r.integers(0, recurrent_lm.CLASSES, 100)
-    # carried over windows: the score of a text does not depend on what it is scored with
-    alone = recurrent_lm.log_likelihood(p, [long])[0]
-    assert math.isclose(alone, recurrent_lm.log_likelihood(p, [long[:7], long, np.append(long, 1)])[1], rel_tol=1e-5)
-    total = sum(math.exp(recurrent_lm.log_likelihood(p, [np.array([5, k])])[0] - recurrent_lm.log_likelihood(p, [np.array([5])])[0]) for k in range(recurrent_lm.CLASSES))
-    assert math.isclose(total, 1.0, rel_tol=1e-4)
+    soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    h, before, out = np.zeros(net.HIDDEN), end, 0.0
+    for c in codes:
+        a = np.tanh(p["E"][before] + h @ p["U"])
+        keep = (1 + a[: net.HIDDEN]) / 2
+        h = keep * h + (1 - keep) * a[net.HIDDEN :]
+        k, s = divmod(int(c), net.SLOTS)
+        out += math.log(soft(h @ p["Wc"] + p["bc"])[k]) + math.log(soft(h @ p["Ws"][k] + p["bs"][k])[s])
+        before = c
+    return out
+
+
+def random_network(seed=0):
+    import numpy as np
+
+    r = np.random.default_rng(seed)
+    return {k: (v + r.normal(0, 0.3, v.shape)).astype(np.float32) for k, v in net.start(np.ones(net.CODES)).items()}
+
+
+def test_language_model_likelihood_is_that_of_plain_loops():
+    import numpy as np
+
+    r, p, end = np.random.default_rng(1), random_network(), 7
+    docs = [np.append(r.integers(8, net.CODES, n), end) for n in (0, 1, 5, 40, 3 * net.STEPS + 5, 300, 0, 9)]
+    got = net.log_likelihood(p, docs, end)
+    assert all(math.isclose(x, naive_likelihood(p, d, end), rel_tol=1e-4) for x, d in zip(got, docs, strict=True))
+    many = net.log_likelihood(p, docs * 60, end)  # several documents a lane: the state starts anew
+    assert np.allclose(many, np.tile(got, 60), rtol=1e-4)
+    every = [net.log_likelihood(p, [np.array([9, k])], end)[0] for k in range(net.CODES)]
+    assert math.isclose(sum(math.exp(x - net.log_likelihood(p, [np.array([9])], end)[0]) for x in every), 1.0, rel_tol=1e-3)
 
 
 def test_language_model_gradient():
     import numpy as np
 
-    r = np.random.default_rng(3)
-    p = {k: v.astype(np.float64) for k, v in recurrent_lm.start_parameters(np.ones(recurrent_lm.CLASSES)).items()}
-    docs = [r.integers(0, recurrent_lm.CLASSES, 12) for _ in range(3)]
-    t = recurrent_lm.Trainer(p)
-    seen = {}
-    t.update = lambda g: seen.update(g)
-    t.learn(docs)
+    r, end = np.random.default_rng(3), 5
+    p = random_network(2)
+    docs = [np.append(r.integers(6, net.CODES, 12), end) for _ in range(3)]
+    t, n = net.Trainer(p), sum(map(len, docs))
+    before, want, doc, live = next(net.windows(docs, end))
+    g, seen, rows, _ = t.gradient(before, want, doc >= 0, np.zeros((live, net.HIDDEN), dtype=np.float32), end)
+    g["E"] = np.zeros_like(p["E"])
+    g["E"][seen] = rows
+    wide = {k: v.astype(np.float64) for k, v in p.items()}
     for k in p:
-        at = np.unravel_index(np.argmax(np.abs(seen[k])), p[k].shape)
-        q = {n: v.copy() for n, v in p.items()}
-        q[k][at] += 1e-3
-        up = recurrent_lm.log_likelihood(q, docs).sum()
-        q[k][at] -= 2e-3
-        slope = -(up - recurrent_lm.log_likelihood(q, docs).sum()) / 2e-3 / 36
-        assert math.isclose(slope, seen[k][at], rel_tol=0.05, abs_tol=1e-5)
+        at = np.unravel_index(np.argmax(np.abs(g[k])), p[k].shape)
+        found = []
+        for step in (1e-4, -1e-4):
+            q = {m: v.copy() for m, v in wide.items()}
+            q[k][at] += step
+            found.append(sum(naive_likelihood(q, d, end) for d in docs))
+        assert math.isclose(-(found[0] - found[1]) / 2e-4 / n, g[k][at], rel_tol=0.01), k
+
+
+def test_language_model_score_and_partitions(spark, monkeypatch):
+    """The score against a word-by-word evaluation of the trained model, whatever the partitions."""
+    import numpy as np
+    import xxhash
+
+    monkeypatch.setattr(recurrent_lm, "UNIT", 400)
+    monkeypatch.setattr(recurrent_lm, "VOCABULARY", 60)  # several vocabularies a task
+    monkeypatch.setattr(recurrent_lm, "HEAD", 40)
+    r = random.Random(11)
+    rows = [(i, " ".join(f"w{min(int(r.paretovariate(0.6)), 90)}" for _ in range(r.randint(0, 60)))) for i in range(120)]
+    models = []
+    train = recurrent_lm.train
+    monkeypatch.setattr(recurrent_lm, "train", lambda *a: models.append((train(*a), a[3])) or models[-1][0])
+    scores = []
+    for n in (1, 5):
+        got = {x.doc_id: x for x in recurrent_lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(n)).collect()}
+        scores.append([got[i].score for i, _ in rows])
+    assert np.allclose(scores[0], scores[1], rtol=1e-4)
+    p, end = models[0]
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    tok = {i: t.encode().split() + [b"\n"] for i, t in rows}
+    c = collections.Counter(w for i in tok if not held(i) for w in tok[i])
+    top = sorted(c, key=lambda w: (-c[w], w))[:40]
+    signed = lambda h: h - 2**64 if h >= 2**63 else h
+    code = {w: recurrent_lm.place(k) for k, w in enumerate(top)}
+    for w in {w for ws in tok.values() for w in ws} - set(top):
+        code[w] = signed(xxhash.xxh64_intdigest(w[-3:], 42)) % net.CLASSES * net.SLOTS + net.SLOTS - 1
+    mass = collections.Counter()
+    for w in c:
+        if w not in top:
+            mass[code[w]] += c[w] + 0.1
+    for i, ws in tok.items():
+        inside = sum(math.log10((c[w] + 0.1) / (mass[code[w]] + 0.1)) for w in ws if w not in top)
+        assert math.isclose(scores[0][i], naive_likelihood(p, [code[w] for w in ws], end) / math.log(10) + inside, rel_tol=1e-4)
 
 
 def test_language_model_empty(spark):
