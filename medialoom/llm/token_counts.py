@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, types as T
 
 from medialoom.llm.common import WS_CHARS, batch_of, pick, table, texts_of
 
-CHUNK, OVERLAP, MEMO, LIMIT = 1 << 16, 1 << 9, 1 << 20, 2048
+CHUNK, OVERLAP, MEMO, LIMIT = 1 << 14, 1 << 8, 1 << 20, 2048
 _LOADED: dict[str, tuple] = {}
 
 
