@@ -9,7 +9,7 @@ A word is one of ``CLASSES`` classes and one of ``SLOTS`` places in it; its code
 so the state enters its own gate and candidate, and both softmaxes.  The state is zero
 at the start of a document and carried through it whole.  Documents are laid end to end
 in lanes; training is back-propagation through windows of ``STEPS`` words, the state
-carried from window to window.
+carried from window to window.  In training alone a lane may start inside a document.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import numpy as np
 
 CLASSES, SLOTS, HIDDEN = 32, 32, 16
 CODES = CLASSES * SLOTS
-STEPS, LANES, RATE = 32, 128, 0.1
+STEPS, LANES, RATE = 32, 256, 0.1
 _SHAPES = {"E": (CODES, 2 * HIDDEN), "U": (HIDDEN, 2 * HIDDEN), "Wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "Ws": (CLASSES, HIDDEN, SLOTS), "bs": (CLASSES, SLOTS)}
 SIZE = sum(int(np.prod(s)) for s in _SHAPES.values())
 
@@ -106,7 +106,7 @@ def outputs(p, h: np.ndarray, want: np.ndarray):
 
     Returns (order, starts of classes, states in that order, class rows, place rows).
     """
-    cls = want // SLOTS
+    cls = (want // SLOTS).astype(np.uint16)  # sorted by radix
     order = np.argsort(cls, kind="stable")
     cut = np.searchsorted(cls[order], np.arange(CLASSES + 1))
     hs = h[order]
@@ -128,14 +128,21 @@ class Trainer:
         self.tokens = self.steps = 0
 
     def learn(self, docs: list[np.ndarray], end: int) -> None:
-        state = np.zeros((LANES, HIDDEN), dtype=np.float32)
-        for before, want, doc, live in windows(docs, end):
-            state = self.step(before, want, doc >= 0, state[:live], end)
+        """The documents as one stream, cut into ``LANES`` lanes of one length, so that every window is full."""
+        stream = np.concatenate([np.full(1, end, dtype=np.int64), *docs])
+        n = len(stream) - 1
+        wide = max(1, min(LANES, n // STEPS))
+        long = -(-n // wide)
+        at = np.minimum(np.arange(wide) * long + np.arange(long)[:, None], n)  # places in the stream by time and lane
+        state = np.zeros((wide, HIDDEN), dtype=np.float32)
+        for t in range(0, long, STEPS):
+            here = at[t : t + STEPS]
+            state = self.step(stream[here], stream[np.minimum(here + 1, n)], here < n, state, end)
 
     def gradient(self, before, want, real, state, end):
         p = self.p
         a, olds, hs, last = recur(p, before, state, end)
-        real = np.flatnonzero(real.ravel())
+        real = np.flatnonzero(real)
         code = want.ravel()[real]
         order, cut, h, of_class, inside = outputs(p, hs.reshape(-1, HIDDEN)[real], code)
         rows, code, n = np.arange(len(real)), code[order], np.float32(1 / len(real))
@@ -166,7 +173,7 @@ class Trainer:
             carry = (grad * keep + d @ across) * goes_on[t]
         d_a = d_a.reshape(-1, 2 * HIDDEN)
         g["U"] = olds.reshape(-1, HIDDEN).T @ d_a
-        code = before.ravel()
+        code = before.ravel().astype(np.uint16)
         o = np.argsort(code, kind="stable")
         first = np.flatnonzero(np.concatenate([[True], np.diff(code[o]) != 0]))
         seen, rows = code[o][first], np.add.reduceat(d_a[o], first, axis=0)

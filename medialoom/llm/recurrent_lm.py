@@ -38,7 +38,7 @@ from medialoom.llm.common import batch_of, drop_path, materialise, pick, table,
 
 HEAD = net.CLASSES * (net.SLOTS - 1)
 ALPHA = 0.1
-VOCABULARY, CHUNK_TOKENS, BLOCK_TOKENS, SCORE_TOKENS = 1 << 18, 4_000_000, 1_000_000, 2_000_000
+VOCABULARY, CHUNK_TOKENS, BLOCK_TOKENS, SCORE_TOKENS = 1 << 19, 8_000_000, 1_000_000, 2_000_000
 UNIT, ROUNDS = 250_000, 6
 MOST_SUMS = 32
 END = b"\n"  # no word holds white space

@@ -69,17 +69,20 @@ def test_simhash(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_simhash_links_on_planted_fingerprints(spark):
+@pytest.mark.parametrize("dense", [0, 3, 32])
+def test_simhash_links_on_planted_fingerprints(spark, dense):
     r = random.Random(3)
     center = r.getrandbits(64)
     fps = {center, 0, 2**64 - 1, 2**63} | {center ^ (1 << a) ^ (1 << b) ^ (1 << c) for a, b, c in ([r.randrange(64) for _ in range(3)] for _ in range(60))} | {r.getrandbits(64) for _ in range(60)}
     signed = lambda x: x - 2**64 if x >= 2**63 else x
-    pairs = simhash.links(spark.createDataFrame([(signed(x),) for x in fps], "fp long"))
+    fps |= {center ^ (b << 32) for b in (r.getrandbits(32) & r.getrandbits(32) & r.getrandbits(32) for _ in range(80))}  # one segment in common
+    pairs = simhash.links(spark.createDataFrame([(signed(x),) for x in fps], "fp long"), dense)
     got = {x.node: x.label for x in connected_components(pairs).collect()}
     s = {signed(x) for x in fps}
     want = groups_of(s, lambda a, b: ((a ^ b) % 2**64).bit_count() <= 2)
     sizes = collections.Counter(want.values())
     assert got == {n: g for n, g in want.items() if sizes[g] > 1}
+    assert all(0 < ((x.a ^ x.b) % 2**64).bit_count() <= 2 for x in pairs.collect())
 
 
 def test_simhash_keeps_one_of_a_group(spark):
@@ -198,6 +201,28 @@ def test_decontamination_recall_and_exactness(spark):
     assert decontaminate.hits(d, b.limit(0)).count() == 0 and decontaminate.hits(d.limit(0), b).count() == 0
 
 
+@pytest.mark.parametrize("low, high", [(10, 30), (31, 100), (101, 250), (251, 500)])
+def test_decontamination_recall_by_length(low, high):
+    """Items of each length band with as many edits as are allowed, inside other text."""
+    r = random.Random(low)
+    vocab = [f"w{k}" for k in range(3000)]
+    items = [(i, " ".join(r.choice(vocab) for _ in range(r.randint(low, high)))) for i in range(40)]
+    index = decontaminate.Index([(i, t.encode()) for i, t in items])
+    found = due = 0
+    for i, t in items:
+        w = t.split()
+        text = [r.choice(vocab) for _ in range(50)] + edited(w, decontaminate.edits_allowed(len(w)), r, vocab) + [r.choice(vocab) for _ in range(50)]
+        if decontaminate.closest(w, text)[0] > decontaminate.edits_allowed(len(w)):
+            continue
+        due += 1
+        flat = decontaminate.word_hashes(" ".join(text).encode())
+        at = index.starts(np.append(flat, np.uint64(0)))
+        at = at[at < len(flat)]
+        found += any(y == i for _, y in index.candidates(np.append(flat, np.uint64(0)), np.full(len(at), len(flat)), at))
+    print(f"recall at {low} to {high} words: {found}/{due}; positions and repetitions {index.plans}")
+    assert found >= 0.95 * due
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     d = spark.createDataFrame([(1, "a b c d e f g h"), (2, "p q r s t u v w")], "doc_id long, text string")
     b = spark.createDataFrame([(1, "b c d e f"), (2, "q r s t u")], "item_id long, text string")

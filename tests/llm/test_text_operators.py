@@ -47,7 +47,7 @@ def test_quality_figures(spark):
 def test_quality_rules(spark):
     prose = " ".join(f"Word{i} stands{i} here, with others{i}." for i in range(30))
     nav = "Home | About | News | Shop | Login | Help"
-    texts = {1: prose, 2: prose + "\n" + nav, 3: "\n".join([nav + str(i) for i in range(30)]), 4: " ".join(f"w{i}### x{i}$$$" for i in range(60)), 5: " ".join(f"LOUD{i}!!" for i in range(60)), 6: prose + "\nSign in to read more"}
+    texts = {1: prose, 2: prose + "\n" + nav, 3: "\n".join([nav + str(i) for i in range(30)]), 4: " ".join(f"w{i}### x{i}$$$" for i in range(60)), 5: " ".join(f"LOUD{i}!!" for i in range(60)), 6: prose + "\nSign in to read more."}
     d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     r = {x.doc_id: x for x in quality.judged(d).collect()}
     assert [r[i].kept for i in range(1, 7)] == [True, True, False, False, False, True]
@@ -56,6 +56,33 @@ def test_quality_rules(spark):
     assert set(kept) == {1, 2, 6} and kept[2].text == prose and kept[2].n_chars == len(prose) and kept[1].row == "q"
 
 
+def fails(line):
+    """The rules, one line at a time."""
+    tokens = len(WORD.findall(line))
+    marks = sum(x in quality.NAV_MARKS for x in line)
+    ended = re.search(f"[{quality.END_MARKS}][{re.escape(quality.CLOSING)}]*$", line[-4:])
+    phrase = any(re.search(rf"(^|[^\\w]|_){p}($|[^\\w]|_)", line.lower()) for p in quality.PHRASES)
+    return not ended or (tokens > 3 and 3 * marks >= tokens) or 12 * sum(x in quality.SYMBOLS for x in line) > len(line) or (tokens > 3 and line.upper() == line != line.lower()) or (len(line) <= 200 and phrase)
+
+
+def test_quality_verdict_against_plain_rules(spark):
+    r = random.Random(12)
+    ends = [".", "!", "", ".”", "?)", " |", "…", "。", ";'", ".\"') x"]
+    parts = ["Some words stand here", "HOME AGAIN HERE NOW", "a | b | c | d", "Read More", "### $$$", "x\ty\x0bz", "log  in", "logging in to it", "Iniciar Sesión ahora", "prose\u00a0with\u3000other spaces", "é" * 30, "_subscribe_"]
+    texts = ["\n".join(" ".join(r.choice(parts) for _ in range(r.randint(1, 12))) + r.choice(ends) + r.choice(["", " ", "\r"]) for _ in range(r.randint(0, 14))) for _ in range(300)]
+    menu = "\n".join(f"Item number {i}" for i in range(60))
+    d = spark.createDataFrame(list(enumerate([*texts, menu, *ODD])), "doc_id long, text string")
+    for x in d.join(quality.judged(d), "doc_id").collect():
+        lines = [y.strip(" \t\n\x0b\x0c\r") for y in (x.text or "").split("\n")]
+        lines = [y for y in lines if y]
+        good = [y for y in lines if not fails(y)]
+        chars = sum(len(w) for y in good for w in WORD.findall(y))
+        failed = base(x.text)[-1]
+        assert (x.n_lines, x.n_lines_removed, x.kept_chars) == (len(lines), len(lines) - len(good), chars), x.text
+        assert x.kept == (not failed and 100 * chars >= 50 * x.word_chars)
+        assert x.text != menu or (x.n_lines_removed == 60 and not x.kept)
+
+
 def test_quality_is_native(spark):
     plan = quality.judged(odd_docs(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
