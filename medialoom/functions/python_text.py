@@ -2,85 +2,104 @@
 
 from __future__ import annotations
 
+import html as entities
 import re
-from html.parser import HTMLParser
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
-#: Elements dropped with their content, elements whose tags go, attributes that stay.
+#: Elements that go with their content, ones of them that have none, elements whose tags go, attributes that stay.
 DROPPED = frozenset("applet aside embed footer head header iframe math nav noscript object script style svg".split())
 VOID_DROPPED = frozenset({"embed"})
 TAGS_ONLY = frozenset(
     "article button dd details div dl dt figcaption figure form input li main menu menuitem ol section select span summary table tbody td textarea tfoot th thead tr ul".split()
 )
 KEPT_ATTRIBUTES = frozenset("alt content datetime href name property src".split())
-_BASE64 = re.compile(r"data:[^;]+;base64,[A-Za-z0-9+/=]+", re.I)
-_SHARE = re.compile(r"api\.whatsapp\.com|facebook\.com/sharer|twitter\.com/share|linkedin\.com/shareArticle|^mailto:", re.I)
-_PLACEHOLDER = re.compile(r"placeholder/svg|data:image/svg", re.I)
-_EMPTY_PAIR = re.compile(r"<(\w+)[^>]*>\s*</\1>")
+#: Targets that share a page, and sources that show no picture.
+SHARING = ("api.whatsapp.com", "facebook.com/sharer", "twitter.com/share", "linkedin.com/sharearticle")
+PLACEHOLDERS = ("placeholder/svg", "data:image/svg")
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<more>(?:"[^"]*"|'[^']*'|[^>"'])*)>|(?P<text>[^<]+|<)""", re.I | re.S)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))?)?""")
+_INLINE_DATA = re.compile(r"data:[^;]+;base64,[a-z0-9+/=]+", re.I)
+
+
+def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, tag, text or attributes): kinds are open, close and text; comments, declarations, scripts and styles are none."""
+    for m in _TOKEN.finditer(page):
+        if m["text"] is not None:
+            yield "text", "", entities.unescape(m["text"])
+        elif m["tag"]:
+            yield "close" if m["close"] else "open", m["tag"].lower(), m["more"]
+
+
+def _outside_dropped(tokens: Iterator[tuple[str, str, str]]) -> Iterator[tuple[str, str, str]]:
+    """The tokens that are in no dropped element; one that is never closed takes the rest of the page."""
+    depth: list[str] = []
+    for kind, tag, rest in tokens:
+        if tag in DROPPED:
+            if kind == "open" and tag not in VOID_DROPPED:
+                depth.append(tag)
+            elif kind == "close" and depth and depth[-1] == tag:
+                depth.pop()
+        elif not depth:
+            yield kind, tag, rest
 
 
-class _Reducer(HTMLParser):
-    """Keeps text, headings, paragraphs, links and real images."""
+def _leads_nowhere(target: str) -> bool:
+    low = target.lower()
+    return target == "#" or target.startswith("javascript:") or low.startswith("mailto:") or any(x in low for x in SHARING)
 
-    def __init__(self, keep_orphans: bool):
-        super().__init__(convert_charrefs=True)
-        self.out: list[str] = []
-        self.inside: list[str] = []
-        self.lost_links = 0
-        self.keep_orphans = keep_orphans
 
-    @staticmethod
-    def _useless_link(target: str) -> bool:
-        return bool(_SHARE.search(target)) or target.startswith("javascript:") or target == "#"
+def _shows_nothing(source: str) -> bool:
+    return not source or any(x in source.lower() for x in PLACEHOLDERS) or bool(_INLINE_DATA.search(source))
 
-    def handle_starttag(self, tag, attrs):
-        if tag in DROPPED:
-            if tag not in VOID_DROPPED:
-                self.inside.append(tag)
-            return
-        if self.inside or tag in TAGS_ONLY:
-            return
-        values = {k: v or "" for k, v in attrs}
-        if tag == "a" and self._useless_link(values.get("href", "")):
-            self.lost_links += 1
-            return
-        if tag == "img" and (not values.get("src") or _PLACEHOLDER.search(values["src"]) or _BASE64.search(values["src"])):
-            return
-        kept = []
-        for k, v in attrs:
-            if k not in KEPT_ATTRIBUTES or (v and _BASE64.search(v)) or (k == "href" and v and self._useless_link(v)):
-                continue
-            kept.append(k if v is None else f'{k}="{v}"')
-        self.out.append("<" + " ".join([tag, *kept]) + ">")
-
-    def handle_endtag(self, tag):
-        if self.inside:
-            if self.inside[-1] == tag:
-                self.inside.pop()
-        elif tag not in TAGS_ONLY:
-            if tag == "a" and self.lost_links and not self.keep_orphans:
-                self.lost_links -= 1
-            else:
-                self.out.append(f"</{tag}>")
 
-    def handle_data(self, data):
-        if not self.inside:
-            self.out.append(data)
+def _attributes(more: str) -> list[tuple[str, str | None]]:
+    """Names and values; null where an attribute has no value."""
+    return [(name.lower(), entities.unescape(double or single or bare) if said else None) for name, said, double, single, bare in _ATTRIBUTE.findall(more)]
+
+
+def _written(tag: str, attributes: list[tuple[str, str | None]]) -> str:
+    """A start tag with the attributes that say something."""
+    stay = [(k, v) for k, v in attributes if k in KEPT_ATTRIBUTES and not (v and (_INLINE_DATA.search(v) or (k == "href" and _leads_nowhere(v))))]
+    return "<" + "".join([tag, *(f" {k}" if v is None else f' {k}="{v}"' for k, v in stay)]) + ">"
+
+
+#: Elements that go, by their attributes.
+_UNWANTED = {"a": lambda given: _leads_nowhere(given.get("href") or ""), "img": lambda given: _shows_nothing(given.get("src") or "")}
+
+
+def _without_empty_pairs(text: str) -> str:
+    while True:
+        shorter = re.sub(r"<(\w+)[^>]*>\s*</\1>", "", text)
+        if shorter == text:
+            return text
+        text = shorter
 
 
 def reduce_html(html: str | None, keep_orphans: bool = True) -> str | None:
     """HTML without what is not content.  ``keep_orphans``: keep the end tag of a removed link."""
     if html is None:
         return None
-    p = _Reducer(keep_orphans)
-    p.feed(html)
-    p.close()
-    text = re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+", " ", "".join(p.out)))
-    while (shorter := _EMPTY_PAIR.sub("", text)) != text:
-        text = shorter
-    return re.sub(r"\n{3,}", "\n\n", text).strip()
+    out, open_links = [], 0
+    for kind, tag, rest in _outside_dropped(_tokens(html)):
+        if kind == "text":
+            out.append(rest)
+        elif tag in TAGS_ONLY:
+            continue
+        elif kind == "open":
+            given = _attributes(rest)
+            if tag in _UNWANTED and _UNWANTED[tag](dict(given)):
+                open_links += tag == "a"
+            else:
+                out.append(_written(tag, given))
+        elif tag == "a" and open_links and not keep_orphans:
+            open_links -= 1
+        else:
+            out.append(f"</{tag}>")
+    text = re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+", " ", "".join(out)))
+    return re.sub(r"\n{3,}", "\n\n", _without_empty_pairs(text)).strip()
 
 
 @F.pandas_udf(T.StringType())
@@ -89,19 +108,18 @@ def clean_html(html: pd.Series) -> pd.Series:
 
 
 def windows_around(body: str, keywords: list[str], size: int = 250, most: int = 4) -> str:
-    """Up to ``most`` stretches around keyword hits, or the head of the text without a hit."""
-    low, taken, parts = body.lower(), [], []
-    for word in (k.lower() for k in keywords if k):
-        at = low.find(word)
-        while at >= 0 and len(parts) < most:
-            if any(a <= at <= b for a, b in taken):
-                at = low.find(word, at + len(word))
-                continue
-            a, b = max(0, at - size // 2), min(len(body), at + len(word) + size // 2)
-            taken.append((a, b))
-            parts.append(body[a:b])
-            at = low.find(word, b)
-    return " ".join((" ... ".join(parts) if parts else body[:size]).split())
+    """Up to ``most`` stretches around keyword hits, or the head of the text without a hit.
+
+    Hits are taken keyword by keyword; one inside a stretch that is taken adds nothing.
+    """
+    low = body.lower()
+    hits = [m.span() for word in keywords if word for m in re.finditer(re.escape(word.lower()), low)]
+    chosen: list[slice] = []
+    for start, end in hits:
+        if len(chosen) < most and not any(c.start <= start <= c.stop for c in chosen):
+            chosen.append(slice(max(0, start - size // 2), min(len(body), end + size // 2)))
+    said = " ... ".join(body[c] for c in chosen) if chosen else body[:size]
+    return " ".join(said.split())
 
 
 def snippet(body: Column, keywords: list[str], size: int = 250) -> Column:

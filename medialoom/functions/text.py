@@ -21,6 +21,7 @@ TIER_BELOW = ((15_000, 3), (30_000, 2))
 VALUE_BELOW = ((1_000, 5_000), (10_000, 10_000), (20_000, 15_000), (50_000, 20_000), (100_000, 25_000), (250_000, 30_000), (1_000_000, 40_000))
 POST_FORMATS = {"Image": "Static Image", "Reel": "Single Video", "Sidecar": "Image Carousel", "Story": "Single Video", "Video": "Single Video"}
 ARTICLE_TAG = "attached_url_text: "
+#: Fixed value: the ranges that count as emoji.
 _EMOJI = r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}\x{1F000}-\x{1F1FF}]"
 
 

@@ -8,17 +8,12 @@ from pyspark.sql import Column, functions as F
 SOCIAL_HOSTS = ("facebook.com", "instagram.com", "linkedin.com", "threads.net", "tiktok.com", "twitter.com", "x.com", "youtube.com")
 NEVER_ARTICLES = ("facebook.com", "fb.com", "goo.gl", "instagram.com", "linkedin.com", "pinterest.com", "reddit.com", "t.me", "threads.net", "tiktok.com", "twitter.com", "wa.me", "whatsapp.com", "x.com", "youtu.be", "youtube.com")
 NEVER_UNDER = {"google.com": ("/maps",)}
-#: Public suffixes of more than one label that the default rule knows; a fuller set can be passed.
-TWO_LABEL_SUFFIXES = tuple(
-    f"{a}.{b}" for b, many in {
-        "ar": "com edu gob net org", "au": "com edu gov net org", "br": "com edu gov net org", "cl": "gob", "cn": "com edu gov net org",
-        "co": "com edu gov net org", "in": "co edu gov net org", "jp": "ac co go ne or", "kr": "co go or", "mx": "com edu gob net org",
-        "nz": "ac co govt net org", "pe": "com edu gob net org", "tr": "com edu gov net org", "uk": "ac co gov ltd me net org", "uy": "com edu gub net org",
-        "ve": "com edu gob net org", "za": "ac co gov net org",
-    }.items() for a in many.split()
-)
-_LABEL = r"[a-zA-Z0-9](?:[a-zA-Z0-9-]{0,61}[a-zA-Z0-9])?"
-_URL = rf"^(?:(?:https?://)?(?:www\.)?)?(?:{_LABEL}\.)+[a-zA-Z]{{2,}}(?::\d{{1,5}})?(?:/\S*)?$"
+#: Second labels under which country domains register, and countries that have them.
+SECOND_LABELS = "ac co com edu gob gov net org".split()
+COUNTRIES = "ar au bd bo br cl cn co cr cu do ec eg es gt hk hn id il in jp ke kr mx my ng ni nz pa pe ph pk pr py sa sg sv th tr tw ua uk uy ve vn za".split()
+MORE_SUFFIXES = ("blog.br", "go.jp", "go.kr", "govt.nz", "gub.uy", "jus.br", "ltd.uk", "me.uk", "ne.jp", "nom.co", "nom.es", "or.jp", "or.kr")
+#: Public suffixes of more than one label that the default rule knows; ``suffixes_from`` reads a full list.
+TWO_LABEL_SUFFIXES = tuple(sorted({f"{a}.{b}" for a in SECOND_LABELS for b in COUNTRIES} - {"ac.co", "co.co", "com.uk"}) ) + MORE_SUFFIXES
 
 
 def host(url: Column) -> Column:
@@ -33,6 +28,13 @@ def path(url: Column) -> Column:
     return F.regexp_extract(rest, r"^([^?#]*)", 1)
 
 
+def suffixes_from(path: str) -> tuple[str, ...]:
+    """Public suffixes of two labels from a public suffix list file, for ``registrable_domain``."""
+    with open(path, encoding="utf-8") as f:
+        lines = [x.split("//")[0].strip().lower() for x in f]
+    return tuple(sorted(x for x in lines if x.count(".") == 1 and not x.startswith(("*", "!"))))
+
+
 def registrable_domain(url: Column, suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> Column:
     """The label before the public suffix, with it; null for addresses and bare suffixes."""
     h = host(url)
@@ -49,13 +51,23 @@ def without_last_label(domain: Column) -> Column:
 
 
 def is_valid_url(url: Column) -> Column:
-    """Optional scheme, dotted labels, alphabetic last label, optional port and path."""
+    """A web address: http, https or no scheme; labels of a host; port of up to five digits; a path without spaces.
+
+    The parts are cut out and judged one by one.  A query right after the host is no path.
+    """
     u = F.regexp_replace(url, r"(?U)^\s+|\s+$", "")
-    after = F.when(u.contains("://"), F.get(F.split(u, "://"), F.lit(1))).otherwise(u)
-    name = F.get(F.split(F.get(F.split(after, "/"), F.lit(0)), ":"), F.lit(0))
-    labels = F.split(name, r"\.")
-    sound = name.contains(".") & F.forall(labels, lambda x: (x != "") & ~x.startswith("-") & ~x.endswith("-"))
-    return F.coalesce(u.rlike(_URL) & sound, F.lit(False))
+    bare = F.when(u.startswith("https://"), F.substr(u, F.lit(9))).when(u.startswith("http://"), F.substr(u, F.lit(8))).otherwise(u)
+    authority = F.substring_index(bare, "/", 1)
+    rest = F.substr(bare, F.length(authority) + 1)
+    host_port = F.split(authority, ":", -1)
+    labels = F.split(F.get(host_port, F.lit(0)), r"\.", -1)
+    port, top = F.get(host_port, F.lit(1)), F.element_at(labels, -1)
+    inner = F.slice(labels, 1, F.size(labels) - 1)
+    letters = lambda x: F.translate(F.lower(x), "abcdefghijklmnopqrstuvwxyz", "")
+    sound = lambda x: x.between("!", "~") & F.length(x).between(1, 63) & (F.translate(letters(x), "0123456789-", "") == "") & ~x.startswith("-") & ~x.endswith("-")
+    good_host = (F.size(labels) >= 2) & F.forall(inner, sound) & (letters(top) == "") & (F.length(top) >= 2) & (F.octet_length(top) == F.length(top))
+    good_port = (F.size(host_port) == 1) | ((F.size(host_port) == 2) & F.length(port).between(1, 5) & (F.translate(port, "0123456789", "") == ""))
+    return F.coalesce(good_host & good_port & (F.regexp_replace(rest, r"\s", "") == rest), F.lit(False))
 
 
 def is_never_article(url: Column) -> Column:

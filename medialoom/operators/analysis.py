@@ -36,8 +36,9 @@ def prompts(posts: DataFrame, questions: DataFrame, key: str = "url") -> DataFra
 
     The handful of sections travels to the posts, whatever their number.
     """
-    asked = questions.groupBy().agg(F.collect_list(F.struct("section", "questions")).alias("q"))
-    rows = posts.select(key, "body").join(F.broadcast(asked)).select(key, "body", F.explode("q").alias("q"))
+    asked = questions.where(F.col("section").isin(*SECTIONS)).select("section", "questions").collect()  # one row per section
+    q = F.array(*[F.struct(F.lit(r.section).alias("section"), F.lit(r.questions).alias("questions")) for r in asked])
+    rows = posts.select(key, "body", F.explode(q).alias("q"))
     prompt = F.concat(F.lit("Section: "), F.col("q.section"), F.lit("\nCaption: "), F.coalesce("body", F.lit("")), F.lit("\n\n"), F.col("q.questions"))
     return rows.select(key, F.col("q.section").alias("section"), prompt.alias("prompt"))
 

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from medialoom.functions import text, urls
 from medialoom.functions.coerce import falsy, wall_clock
 from medialoom.functions.text import PERIOD_DAYS, normalize_language
+from medialoom.operators.stored import stored
 
-#: From this many rows on a key set is not worth a driver-side literal.
+#: Fixed value: characters of an article that is worth attaching.
 MIN_ARTICLE = 200
 
 
@@ -41,13 +42,10 @@ def in_language(df: DataFrame, language: str | None, detect=None) -> DataFrame:
     if not language:
         return df
     target = normalize_language(F.lit(language))
-    if detect is None:
-        return df.where(kept(normalize_language(F.col("language")) == target))
-    # two frames, so that the detector never sees rows that need none
-    known = falsy(F.col("language")).isNotNull()
-    seen = df.where(known).where(kept(normalize_language(F.col("language")) == target))
-    unseen = df.where(~known).withColumn("language", detect(F.coalesce(falsy(F.col("body")), F.col("title"))))
-    return seen.unionByName(unseen.where(kept(normalize_language(F.col("language")) == target)))
+    if detect is not None:  # rows with a language give the detector nothing
+        said = F.when(falsy(F.col("language")).isNull(), F.coalesce(falsy(F.col("body")), F.col("title")))
+        df = df.withColumn("language", F.coalesce(falsy(F.col("language")), detect(said)))
+    return df.where(kept(normalize_language(F.col("language")) == target))
 
 
 def in_place(df: DataFrame, prefix: str | None) -> DataFrame:
@@ -98,8 +96,9 @@ def is_stale(updated: Column, now: Column, days: int = 90) -> Column:
 def batches(df: DataFrame, size: int = 20, order: str = "_ord", within: tuple[str, ...] = ()) -> DataFrame:
     """Adds batch_id and a 1-based batch_index, in order, without a global window.
 
-    Ranks come from per-partition counts after a range sort: a partition's offset is the
-    count of those before it, so no single task holds all rows.
+    The rows are range-sorted and written once, each with its partition and its place in
+    it; a row's number is its place after the sizes of the partitions before.  Both are
+    read from what was written, so they belong together whatever a later plan reads.
     """
     from pyspark.sql import Window as W
 
@@ -108,14 +107,13 @@ def batches(df: DataFrame, size: int = 20, order: str = "_ord", within: tuple[st
         out = df.withColumn("_n", n.cast("long"))
     else:
         parts = df.repartitionByRange(order).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id())
-        parts = parts.withColumn("_k", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
-        sizes = parts.groupBy("_p").agg(F.count("*").alias("c")).collect()  # one row per partition
-        before, at = {}, 0
-        for r in sorted(sizes, key=lambda r: r["_p"]):
-            before[r["_p"]] = at
-            at += r["c"]
-        start = text.lookup({p: v for p, v in before.items()}, F.col("_p")) if before else F.lit(0)
-        out = parts.withColumn("_n", (F.col("_k") + start).cast("long")).drop("_p", "_k")
+        parts = stored(parts.withColumn("_k", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "batches")
+        starts, at = [], 0
+        for p, c in sorted(map(tuple, parts.groupBy("_p").count().collect())):  # one row per partition
+            starts.append((p, at))
+            at += c
+        before = df.sparkSession.createDataFrame(starts, "_p int, _before long")
+        out = parts.join(before, "_p").withColumn("_n", F.col("_k") + F.col("_before")).drop("_p", "_k", "_before")
     return out.withColumns({"batch_id": F.floor(F.col("_n") / size), "batch_index": (F.col("_n") % size + 1).cast("int")}).drop("_n")
 
 

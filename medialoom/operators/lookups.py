@@ -37,17 +37,25 @@ def last_value_per(df: DataFrame, key: str, order: str, *values: str) -> DataFra
 
 
 def dedupe_first_wins(df: DataFrame, order: str = "_ord", keys: tuple[str, ...] = ("post_url", "url")) -> DataFrame:
+    """The first row of each key; combined before the shuffle, so that a hot key is one row a task."""
     key = F.coalesce(*[falsy(F.col(k)) for k in keys if k in df.columns])
-    return first_per(df.withColumn("_key", key), ["_key"], [order], keep_null="_key").drop("_key")
+    keyed = df.withColumn("_key", key)
+    firsts = keyed.where("_key IS NOT NULL").groupBy("_key").agg(F.min_by(F.struct(*df.columns), order).alias("v")).select("v.*")
+    return firsts.unionByName(keyed.where("_key IS NULL").drop("_key"))
 
 
-def source_places(docs: DataFrame, sources: DataFrame, domain: Column | None = None) -> DataFrame:
-    """News take their source's place, nulls included, where the source is known."""
+def source_places(docs: DataFrame, sources: DataFrame, domain: Column | None = None, only: Column | None = None) -> DataFrame:
+    """News take their source's place, nulls included, where the source is known.
+
+    ``only``: which rows are news; others keep what they have.
+    """
     d = urls.registrable_domain(F.col("url")) if domain is None else domain
     fields = [c for c in sources.columns if c != "domain"]
     s = sources.select(F.col("domain").alias("_domain"), *[F.col(c).alias("_s_" + c) for c in fields], F.lit(True).alias("_known"))
-    joined = docs.withColumn("_d", d).join(s, F.col("_d") == F.col("_domain"), "left")
+    joined = docs.withColumn("_d", d if only is None else F.when(only, d)).join(s, F.col("_d") == F.col("_domain"), "left")
     fill = {c: F.when(F.col("_known"), F.col("_s_" + c)) if c in PLACE else F.coalesce(F.col(c), F.col("_s_" + c)) if c in docs.columns else F.col("_s_" + c) for c in fields}
+    if only is not None:
+        fill = {c: F.when(F.coalesce(only, F.lit(False)), v).otherwise(F.col(c)) if c in docs.columns else v for c, v in fill.items()}
     return joined.withColumns(fill).drop("_domain", "_known", "_d", *["_s_" + c for c in fields])
 
 
@@ -72,10 +80,14 @@ def unknown_sources(seen: DataFrame, known: DataFrame, before: DataFrame | None
     return new.groupBy("domain").agg(F.min(F.struct("_age", "url", "source")).alias("v")).select("domain", "v.url", "v.source")
 
 
-def fill_from_users(docs: DataFrame, users: DataFrame, fields: tuple[str, ...] = STATS, needs: str = "website_visits") -> DataFrame:
-    """Fills nulls from the author's stored profile, found by the profile URL without its final slash."""
+def fill_from_users(docs: DataFrame, users: DataFrame, fields: tuple[str, ...] = STATS, needs: str = "website_visits", only: Column | None = None) -> DataFrame:
+    """Fills nulls from the author's stored profile, found by the profile URL without its final slash.
+
+    ``only``: which rows are filled.
+    """
     u = users.where(F.col(needs).isNotNull()).select(urls.without_final_slash(F.col("profile_url")).alias("_u"), *[F.col(f).alias("_u_" + f) for f in fields if f in users.columns])
-    joined = docs.withColumn("_key", urls.without_final_slash(F.col("profile_url"))).join(u, F.col("_key") == F.col("_u"), "left")
+    key = urls.without_final_slash(F.col("profile_url"))
+    joined = docs.withColumn("_key", key if only is None else F.when(only, key)).join(u, F.col("_key") == F.col("_u"), "left")
     fill = {f: F.coalesce(F.col(f), F.col("_u_" + f)) for f in fields if f in users.columns}
     return joined.withColumns(fill).drop("_u", "_key", *["_u_" + f for f in fill])
 
@@ -90,10 +102,10 @@ def stale_profiles(docs: DataFrame, users: DataFrame, now: Column, days: int = 9
 
 
 def profiles_by_name(posts: DataFrame, profiles: DataFrame, names: list[str], post_key: str, fields: tuple[str, ...]) -> DataFrame:
-    """A profile is known under several names; of profiles with one name the first counts."""
+    """A profile is known under several names, as they are written; of profiles with one name the first counts."""
     keyed = profiles.select("_ord", F.explode(F.array_compact(F.array(*[falsy(F.col(n)) for n in names]))).alias("_name"), *fields)
-    one = first_value_per(keyed, "_name", "_ord", *fields).select(F.lower("_name").alias("_name"), *[F.col(f).alias("_p_" + f) for f in fields])
-    joined = posts.join(one.dropDuplicates(["_name"]), F.lower(F.col(post_key)) == F.col("_name"), "left")
+    one = first_value_per(keyed, "_name", "_ord", *fields).select("_name", *[F.col(f).alias("_p_" + f) for f in fields])
+    joined = posts.join(one, F.col(post_key) == F.col("_name"), "left")
     return joined.withColumns({f: F.coalesce(F.col(f), F.col("_p_" + f)) if f in posts.columns else F.col("_p_" + f) for f in fields}).drop("_name", *["_p_" + f for f in fields])
 
 
@@ -174,6 +186,13 @@ def geocoded(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"location_ids": F.coalesce(all_ids, F.col("location_ids")), **fill}).drop("groups")
 
 
+def author_places(docs: DataFrame, users: DataFrame, order: str = "_ord") -> DataFrame:
+    """(profile_url, place fields that users have) of authors whose place was found, the first of each."""
+    fields = [f for f in PLACE if f in users.columns and f in docs.columns]
+    rows = docs.where(F.col("location_author_geoid").isNotNull()).withColumn("profile_url", urls.without_final_slash(falsy(F.col("profile_url"))))
+    return first_value_per(rows, "profile_url", order, *fields)
+
+
 def section_questions(sections: DataFrame, questions: DataFrame) -> DataFrame:
     """(section, questions): the texts of a section's known questions, in its own order."""
     s = sections.select("section", F.posexplode("numbers").alias("at", "no"))

@@ -7,6 +7,9 @@ may lack are simply null.  Chains of alternatives skip null, '' and 0 where the
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from medialoom.functions.coerce import falsy, first_truthy
@@ -132,7 +135,7 @@ def facebook_search(r: Column) -> dict[str, Column]:
     }
 
 
-#: Child posts repeat the shape; their nesting is bounded by this many levels.
+#: Child posts repeat the shape; the schema holds this many levels, and payloads that nest deeper are walked by ``deep_media``.
 CHILD_LEVELS = 2
 
 
@@ -155,10 +158,32 @@ def instagram_media(r: Column, level: int = CHILD_LEVELS) -> Column:
     return F.concat(own, F.coalesce(below, F.array().cast(_LIST)))
 
 
+def _media_of(post: dict) -> list[str]:
+    """All media of a post and its children, depth first."""
+    out, todo = [], [post]
+    while todo:
+        p = todo.pop()
+        if isinstance(p, dict):
+            out += [u for u in (p.get("displayUrl"), p.get("videoUrl"), *(p.get("images") or [])) if u]
+            todo += reversed(p.get("childPosts") or [])
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def deep_media(raw: pd.Series) -> pd.Series:
+    return raw.map(lambda x: _media_of(json.loads(x)), na_action="ignore")
+
+
+def instagram_all_media(r: Column, raw: Column) -> Column:
+    """Native up to ``CHILD_LEVELS``; a payload that names child posts more often is walked whole."""
+    deeper = F.regexp_count(raw, F.lit('"childPosts"')) > CHILD_LEVELS
+    return F.coalesce(deep_media(F.when(deeper, raw)), instagram_media(r))
+
+
 def instagram(r: Column) -> dict[str, Column]:
     return {
         "timestamp": r["timestamp"], "source": F.lit("Instagram"), "body": r["caption"], "title": F.substring(F.coalesce(r["caption"], r["ownerFullName"], F.lit("")), 1, 80),
-        "url": r["url"], "media_urls": instagram_media(r), "type": F.lit("instagram"), "author": first_truthy(r["ownerFullName"], r["ownerUsername"]),
+        "url": r["url"], "media_urls": instagram_all_media(r, F.col("_raw")), "type": F.lit("instagram"), "author": first_truthy(r["ownerFullName"], r["ownerUsername"]),
         "likes": r["likesCount"], "shares": r["reshareCount"], "views": first_truthy(r["videoPlayCount"], r["igPlayCount"], kind="bigint"), "n_comments": r["commentsCount"],
         "profile_url": F.concat(F.lit("https://www.instagram.com/"), falsy(r["ownerUsername"]), F.lit("/")), "post_type": r["type"],
         "author_location_text": r["locationName"], "author_location_id": r["locationId"],

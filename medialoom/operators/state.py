@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from medialoom.functions.text import cache_key  # noqa: F401  (part of this module's surface)
 from medialoom.functions.urls import without_final_slash
+from medialoom.operators.stored import stored
 
 
 def canonical_users(users: DataFrame, order: str = "_ord") -> DataFrame:
@@ -57,12 +58,15 @@ def merge_user_places(users: DataFrame, places: DataFrame) -> DataFrame:
     return merge(users, places.withColumn("profile_url", without_final_slash(F.col("profile_url"))), ["profile_url"], False)
 
 
-def filter_outcomes(docs: DataFrame, survivors: DataFrame, task: str, url: str = "url") -> DataFrame:
-    """(task_id, url, survived) of every input document that has a URL; the last of a URL counts."""
-    s = survivors.select(F.col(url).alias("_s"), F.lit(True).alias("_ok")).distinct()
-    judged = docs.where(F.col(url).isNotNull()).join(s, docs[url] == F.col("_s"), "left")
-    rows = judged.select(F.lit(task).alias("task_id"), docs[url].alias("url"), F.coalesce("_ok", F.lit(False)).alias("survived"))
-    return rows.groupBy("task_id", "url").agg(F.max("survived").alias("survived"))
+def filter_outcomes(docs: DataFrame, survivors: DataFrame, task: str, url: str = "url", order: str = "_ord") -> DataFrame:
+    """(task_id, url, survived) of every input document that has a URL; the last document of a URL counts.
+
+    Documents are told apart by ``order``, which survivors carry.
+    """
+    s = survivors.select(F.col(order).alias("_s"), F.lit(True).alias("_ok")).distinct()
+    judged = docs.where(F.col(url).isNotNull()).select(F.col(url).alias("url"), F.col(order).alias("_o")).join(s, F.col("_o") == F.col("_s"), "left")
+    rows = judged.groupBy("url").agg(F.max_by(F.coalesce("_ok", F.lit(False)), "_o").alias("survived"))
+    return rows.select(F.lit(task).alias("task_id"), "url", "survived")
 
 
 def merge_filter_cache(cache: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -77,12 +81,14 @@ def request_key(condition: Column, content: Column) -> Column:
     return F.sha2(F.concat_ws("\n", condition, content), 256)
 
 
-def cached_call(requests: DataFrame, cache: DataFrame, provider) -> tuple[DataFrame, DataFrame]:
-    """(answered requests, new cache rows): only requests that the cache lacks are sent, each once."""
-    known = requests.join(cache, "request", "left")
-    new = provider(known.where("answer IS NULL").select("request", "prompt").dropDuplicates(["request"]))
-    rest = requests.join(new.select("request", "answer"), "request")
-    return known.where("answer IS NOT NULL").select(*rest.columns).unionByName(rest), new.select("request", "answer")
+def cached_call(requests: DataFrame, cache: DataFrame | None, provider) -> tuple[DataFrame, DataFrame]:
+    """(answered requests, new cache rows): only requests that the cache lacks are sent, each once, and answers are written before they are used."""
+    asked = requests.select("request", "prompt")
+    if cache is not None:
+        asked = asked.join(cache.select("request"), "request", "left_anti")
+    new = stored(provider(asked.groupBy("request").agg(F.first("prompt").alias("prompt"))).select("request", "answer"), "answers")
+    known = new if cache is None else cache.select("request", "answer").unionByName(new)
+    return requests.join(known, "request"), new
 
 
 class VersionedTable:

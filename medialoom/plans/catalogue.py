@@ -159,11 +159,11 @@ def filter_cache_outcomes(s, d):
 
 
 def verdicts(s, d):
-    """A stand-in model: keeps what the labels call good, and whatever they do not know."""
+    """A stand-in model: keeps what the labels call good, and whatever they do not know; notes whether a place was known by then."""
     bad = read(s, d, "labels").where("quality = 0").select("doc_id")
 
     def stage(df, c):
-        return df.join(bad, "doc_id", "left_anti")
+        return df.withColumn("placed_when_judged", F.col("author_location_id").isNotNull()).join(bad, "doc_id", "left_anti")
 
     return stage
 
@@ -172,7 +172,7 @@ def _pipeline(source: str):
     def run(s, d):
         c = pipeline.Context({"task_id": "t1", "not_keywords": KEYWORDS, "language": "en", "country_id": "_001"}, sources=places(s, d), cache=cache(s, d))
         stage = verdicts(s, d)
-        return pipeline.process(posts(s, d), source, c, {"1": stage, "2": stage}).select("doc_id", "author_location_id", "type")
+        return pipeline.process(posts(s, d), source, c, {"1": stage, "2": stage}).select("doc_id", "author_location_id", "type", "placed_when_judged")
 
     return run
 
@@ -183,9 +183,9 @@ def places(s, d):
     return n.select(F.lit("example.com").alias("domain"), geo().alias("author_location_id"), "n_nationkey").where("n_nationkey = 1").drop("n_nationkey")
 
 
-_PIPE = f"WITH {POSTS} SELECT doc_id, (SELECT {GEO} FROM nation WHERE n_nationkey = 1) AS author_location_id, type FROM posts WHERE {_NOT} AND language = 'en' AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 OR quality = 0) AND (SELECT {GEO} FROM nation WHERE n_nationkey = 1) LIKE '\\_001%' ESCAPE '\\'"
+_PIPE = f"WITH {POSTS} SELECT doc_id, (SELECT {GEO} FROM nation WHERE n_nationkey = 1) AS author_location_id, type, @@ AS placed_when_judged FROM posts WHERE {_NOT} AND language = 'en' AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 OR quality = 0) AND (SELECT {GEO} FROM nation WHERE n_nationkey = 1) LIKE '\\_001%' ESCAPE '\\'"
 QUERIES |= {"pipeline_base": _pipeline("google_news"), "pipeline_llm_early": _pipeline("facebook_keyword_search")}
-ORACLES |= {"pipeline_base": _PIPE, "pipeline_llm_early": _PIPE}
+ORACLES |= {"pipeline_base": _PIPE.replace("@@", "TRUE"), "pipeline_llm_early": _PIPE.replace("@@", "FALSE")}
 
 _ASCII_HEAD = "trim(regexp_replace(substring(body, 1, 250), '\\s+', ' ', 'g'))"
 
@@ -233,13 +233,31 @@ def url_domain(s, d):
     return read(s, d, "pages").select("page_id", urls.host(u).alias("host"), urls.registrable_domain(u).alias("domain"), urls.without_last_label(urls.registrable_domain(u)).alias("label"))
 
 
-_VALID = r"^(?:(?:https?://)?(?:www\.)?)?(?:[a-zA-Z0-9](?:[a-zA-Z0-9-]{0,61}[a-zA-Z0-9])?\.)+[a-zA-Z]{2,}(?::\d{1,5})?(?:/[^\s]*)?$"
+#: Four spellings of a page's address, most of them wrong in some way.
+_SPELLINGS = {
+    "full_url": ("url", lambda h: F.col("url")),
+    "host_query": ("split_part(url, '/', 3) || '?a=1'", lambda h: F.concat(h, F.lit("?a=1"))),
+    "bare_host": ("split_part(url, '/', 3)", lambda h: h),
+    "with_port": ("'http://' || split_part(url, '/', 3) || ':' || page_id || '0/x'", lambda h: F.concat(F.lit("http://"), h, F.lit(":"), F.col("page_id"), F.lit("0/x"))),
+    "odd_label": ("'https://' || CASE page_id % 4 WHEN 0 THEN '-a.' WHEN 1 THEN 'a-.' WHEN 2 THEN '.' ELSE 'a_b.' END || split_part(url, '/', 3)", lambda h: F.concat(F.lit("https://"), F.when(F.col("page_id") % 4 == 0, "-a.").when(F.col("page_id") % 4 == 1, "a-.").when(F.col("page_id") % 4 == 2, ".").otherwise("a_b."), h)),
+    "blank_in_path": ("url || CASE page_id % 2 WHEN 0 THEN '/a b' ELSE '  ' END", lambda h: F.concat(F.col("url"), F.when(F.col("page_id") % 2 == 0, "/a b").otherwise("  "))),
+}
+
+
+def _valid_sql(name: str, u: str) -> str:
+    """The rule with lists: every label, the port and the path are looked at alone."""
+    return (
+        f"(SELECT len(ls) >= 2 AND len(list_filter(ls[:-2], lambda x: length(x) NOT BETWEEN 1 AND 63 OR translate(lower(x), 'abcdefghijklmnopqrstuvwxyz0123456789-', '') <> '' OR x[1] = '-' OR x[-1] = '-')) = 0"
+        " AND length(ls[-1]) >= 2 AND translate(lower(ls[-1]), 'abcdefghijklmnopqrstuvwxyz', '') = '' AND len(hp) <= 2 AND (len(hp) = 1 OR (length(hp[2]) BETWEEN 1 AND 5 AND translate(hp[2], '0123456789', '') = '')) AND NOT contains(tail, ' ')"
+        " FROM (SELECT string_split(hp[1], '.') AS ls, hp, tail FROM (SELECT string_split(split_part(b, '/', 1), ':') AS hp, b[length(split_part(b, '/', 1)) + 1:] AS tail FROM"
+        f" (SELECT CASE WHEN v LIKE 'https://%' THEN v[9:] WHEN v LIKE 'http://%' THEN v[8:] ELSE v END AS b FROM (SELECT trim({u}) AS v))))) AS {name}"
+    )
 
 
-@query("url_valid", f"SELECT page_id, regexp_matches(url, '{_VALID}') AS full_url, regexp_matches(split_part(url, '/', 3) || '?a=1', '{_VALID}') AS host_query, regexp_matches(split_part(url, '/', 3), '{_VALID}') AS bare_host FROM pages")
+@query("url_valid", f"SELECT page_id, {', '.join(_valid_sql(n, u) for n, (u, _) in _SPELLINGS.items())} FROM pages")
 def url_valid(s, d):
     h = F.split_part("url", F.lit("/"), F.lit(3))
-    return read(s, d, "pages").select("page_id", urls.is_valid_url(F.col("url")).alias("full_url"), urls.is_valid_url(F.concat(h, F.lit("?a=1"))).alias("host_query"), urls.is_valid_url(h).alias("bare_host"))
+    return read(s, d, "pages").select("page_id", *[urls.is_valid_url(f(h)).alias(n) for n, (_, f) in _SPELLINGS.items()])
 
 
 @query(
@@ -254,11 +272,11 @@ def url_blacklist(s, d):
 
 @query(
     "first_external_url",
-    """SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN NULL ELSE url END AS link FROM documents JOIN pages ON page_id = doc_id""",
+    """SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN NULL ELSE url END AS link FROM documents LEFT JOIN pages ON page_id = doc_id""",
 )
 def first_external_url(s, d):
-    x = read(s, d, "documents").join(read(s, d, "pages"), F.col("page_id") == F.col("doc_id"))
-    body = F.concat(F.col("text"), F.lit(" see https://twitter.com/a/1, and "), F.when(F.col("doc_id") % 3 == 2, F.lit("nothing")).otherwise(F.concat(F.col("url"), F.lit(")."))))
+    x = read(s, d, "documents").join(read(s, d, "pages"), F.col("page_id") == F.col("doc_id"), "left")
+    body = F.concat(F.col("text"), F.lit(" see https://twitter.com/a/1, and "), F.when((F.col("doc_id") % 3 == 2) | F.col("url").isNull(), F.lit("nothing")).otherwise(F.concat(F.col("url"), F.lit(")."))))
     return x.select("doc_id", urls.first_external_url(body, F.lit("https://www.facebook.com/p/1")).alias("link"))
 
 
@@ -371,13 +389,13 @@ def user_upsert_location(s, d):
 
 @query(
     "profile_multi_key_join",
-    """WITH k AS (SELECT c_custkey, lower(c_mktsegment) AS name FROM customer UNION ALL SELECT c_custkey, lower(c_name) FROM customer),
+    """WITH k AS (SELECT c_custkey, c_mktsegment AS name FROM customer UNION ALL SELECT c_custkey, c_name FROM customer),
       f AS (SELECT name, min(c_custkey) AS c_custkey FROM k GROUP BY name)
-      SELECT x.c_custkey AS post, f.c_custkey AS visits FROM customer x LEFT JOIN f ON f.name = CASE WHEN x.c_custkey % 3 = 0 THEN lower(x.c_name) WHEN x.c_custkey % 3 = 1 THEN lower(x.c_mktsegment) ELSE 'nobody' END""",
+      SELECT x.c_custkey AS post, f.c_custkey AS visits FROM customer x LEFT JOIN f ON f.name = CASE WHEN x.c_custkey % 3 = 0 THEN x.c_name WHEN x.c_custkey % 6 = 1 THEN x.c_mktsegment WHEN x.c_custkey % 6 = 4 THEN lower(x.c_mktsegment) ELSE 'nobody' END""",
 )
 def profile_multi_key_join(s, d):
     c = read(s, d, "customer")
-    key = F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).when(F.col("c_custkey") % 3 == 1, F.col("c_mktsegment")).otherwise("nobody")
+    key = F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).when(F.col("c_custkey") % 6 == 1, F.col("c_mktsegment")).when(F.col("c_custkey") % 6 == 4, F.lower("c_mktsegment")).otherwise("nobody")
     prof = c.select(F.col("c_custkey").alias("_ord"), "c_name", "c_mktsegment", F.col("c_custkey").alias("visits"))
     return lookups.profiles_by_name(c.select(F.col("c_custkey").alias("post"), key.alias("author")), prof, ["c_name", "c_mktsegment"], "author", ("visits",)).select("post", "visits")
 
@@ -479,14 +497,16 @@ def normalize_rejects(s, d):
 
 @query(
     "flatten_record",
-    """SELECT conv_id AS "conv_id", max(CASE WHEN turn = 0 THEN role END) AS "turns.1.role", CAST(max(CASE WHEN turn = 0 THEN length(text) END) AS INTEGER) AS "turns.1.size",
-      max(CASE WHEN turn = 1 THEN role END) AS "turns.2.role", CAST(max(CASE WHEN turn = 1 THEN length(text) END) AS INTEGER) AS "turns.2.size", string_agg(role, ' | ' ORDER BY turn) AS "roles"
-      FROM conversations GROUP BY conv_id""",
+    """SELECT conv_id, 'turns.' || (turn + 1) || '.role' AS field, role AS value FROM conversations UNION ALL SELECT conv_id, 'turns.' || (turn + 1) || '.size', CAST(length(text) AS VARCHAR) FROM conversations
+      UNION ALL SELECT conv_id, 'roles', string_agg(role, ' | ' ORDER BY turn) FROM conversations GROUP BY conv_id""",
 )
 def flatten_record(s, d):
+    """The flat record of every conversation, one row per column that has a value."""
     c = read(s, d, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", F.length("text").alias("size")))).alias("t"))
     c = c.select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["size"].alias("size"))).alias("turns"), F.transform("t", lambda x: x["role"]).alias("roles"))
-    return schema.flatten(c, items={"turns": 2})
+    flat = schema.flatten(c)
+    pairs = F.array(*[F.struct(F.lit(n).alias("field"), F.col(f"`{n}`").cast("string").alias("value")) for n in flat.columns if n != "conv_id"])
+    return flat.select("conv_id", F.inline(pairs)).where("value IS NOT NULL")
 
 
 @query(
@@ -561,15 +581,17 @@ def map_facebook(s, d):
 
 @query(
     "map_facebook_search",
-    _MAP.format("source AS author, text AS body, CASE WHEN doc_id % 2 = 0 THEN n_chars ELSE 0 END AS likes, CASE WHEN doc_id % 3 = 0 THEN 'Video' WHEN doc_id % 3 = 1 THEN 'Photo' ELSE 'Status' END AS post_type, 'https://p.example/' || doc_id AS url"),
+    _MAP.format("source AS author, text AS body, CASE WHEN doc_id % 2 = 0 THEN n_chars ELSE 0 END AS likes, CASE WHEN doc_id % 3 = 0 THEN 'Video' WHEN doc_id % 3 = 1 THEN 'Photo' ELSE 'Status' END AS post_type, 'https://p.example/' || doc_id AS url, CASE WHEN doc_id % 3 = 0 THEN 'v|i|hd' || doc_id WHEN doc_id % 3 = 1 THEN 'p|al|i' ELSE '' END AS media"),
 )
 def map_facebook_search(s, d):
     i = F.col("doc_id")
     m = _mapped(
         s, d, "facebook_search", F.struct(F.lit("").alias("name"), F.col("source").alias("full_name")).alias("author"), F.concat(F.lit("https://p.example/"), i).alias("permalink"), F.lit("").alias("message_rich"),
         F.col("text").alias("message"), F.when(i % 2 == 0, F.col("n_chars")).otherwise(0).alias("likes_count"), F.lit(9).alias("reactions_count"), F.when(i % 3 == 0, "v").alias("video_url"), F.when(i % 3 == 1, "p").alias("image"),
+        F.when(i % 3 == 1, F.array(F.struct(F.lit("al").alias("image_file_uri")))).alias("album_preview"), F.when(i % 3 < 2, F.array(F.struct(F.lit("").alias("url"), F.lit("i").alias("src")))).alias("images"),
+        F.when(i % 3 == 0, F.array(F.struct(F.concat(F.lit("hd"), i).alias("hd")))).alias("videos"),
     )
-    return m.select(F.col("_ord").alias("doc_id"), "author", "body", "likes", "post_type", "url")
+    return m.select(F.col("_ord").alias("doc_id"), "author", "body", "likes", "post_type", "url", F.array_join("media_urls", "|").alias("media"))
 
 
 @query("map_instagram", _MAP.format("source AS author, 'https://www.instagram.com/u' || doc_id || '/' AS profile_url, 'd' || doc_id || '|i1|c' || doc_id || '|g' AS media, CASE WHEN doc_id % 2 = 0 THEN 5 ELSE n_chars END AS views, substring(text, 1, 80) AS title"))
@@ -602,12 +624,14 @@ def map_x(s, d):
 
 @query(
     "analysis_meta_fields",
-    r"""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'Single Video' END AS post_format, CAST(len(regexp_extract_all(text, '(^|[^\p{L}\p{M}\p{N}_])#[\p{L}\p{M}\p{N}_]')) AS INTEGER) AS hashtags, 0.0 AS emoji_pct FROM documents""",
+    r"""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'Single Video' END AS post_format, CAST(len(regexp_extract_all(text, '(^|[^\p{L}\p{M}\p{N}_])#[\p{L}\p{M}\p{N}_]')) AS INTEGER) AS hashtags, CAST(CASE WHEN doc_id % 4 = 0 THEN 50.0 WHEN doc_id % 4 = 1 THEN 33.33 WHEN doc_id % 4 = 2 THEN 0.0 ELSE 200.0 END AS DOUBLE) AS emoji_pct FROM documents""",
 )
 def analysis_meta_fields(s, d):
     kind = F.when(F.col("doc_id") % 2 == 0, "Reel").otherwise("Text")
     m = analysis.meta_fields(F.col("text"), kind)
-    return read(s, d, "documents").select("doc_id", m["post_format"].alias("post_format"), m["hashtag_count"].alias("hashtags"), m["emoji_pct"].alias("emoji_pct"))
+    k = F.col("doc_id") % 4
+    faces = F.when(k == 0, F.lit("so \U0001f600")).when(k == 1, F.lit("a \u2600b c")).when(k == 2, F.lit("none")).otherwise(F.lit("\U0001f600\U0001f680"))
+    return read(s, d, "documents").select("doc_id", m["post_format"].alias("post_format"), m["hashtag_count"].alias("hashtags"), text.emoji_percent(faces).alias("emoji_pct"))
 
 
 @query("section_questions", "SELECT section, string_agg(no || '. q' || no, chr(10) ORDER BY k) AS questions FROM (SELECT 'plot' AS section, unnest([40, 41, 43, 45]) AS no, unnest([1, 2, 3, 4]) AS k UNION ALL SELECT 'comments', unnest([69, 70, 71]), unnest([1, 2, 3])) GROUP BY 1")
@@ -648,3 +672,5 @@ def flagship(s: SparkSession, d: str) -> DataFrame:
 
 QUERIES["flagship"] = flagship
 ORACLES["flagship"] = f"WITH {POSTS} SELECT language, CASE WHEN event_id IS NULL THEN 'Missing required field: timestamp' ELSE 'ok' END AS outcome, count(*) AS n FROM posts LEFT JOIN events ON event_id = doc_id WHERE {_NOT} GROUP BY ALL"
+
+from medialoom.plans import catalogue_scans  # noqa: E402,F401  (adds its queries)

@@ -335,3 +335,59 @@ def test_pages_are_fetched_once_and_guarded(spark):
 
     got = {r.url: (r.final_url, r.html) for r in page_provider(fetch, pause=0)(spark.createDataFrame([("a",), ("a",), ("bad",), ("big",), (None,)], "url string")).collect()}
     assert got == {"a": ("a/final", "xxx"), "bad": (None, None), "big": ("big/final", None)}
+
+
+def test_batches_over_uneven_partitions(spark):
+    """Wide rows, several ranges, far more rows in some than in others: every row has its number."""
+    n = 4000
+    d = spark.range(n).selectExpr("CASE WHEN id % 10 = 0 THEN id * 1000 ELSE id END AS _ord", "repeat(cast(id AS string), 200) AS body", "id AS a", "id AS b")
+    for c in (1, 7):
+        out = filters.batches(d.repartition(c)).collect()
+        order = sorted(out, key=lambda r: r._ord)
+        assert [(r.batch_id, r.batch_index) for r in order] == [(k // 20, k % 20 + 1) for k in range(n)]
+    assert filters.batches(d.limit(0)).count() == 0
+
+
+def test_outcomes_tell_documents_of_one_url_apart(spark):
+    d = spark.createDataFrame([(1, "u"), (2, "u"), (3, "v"), (4, None)], "_ord long, url string")
+    got = {r.url: r.survived for r in state.filter_outcomes(d, d.where("_ord IN (1, 3)"), "t").collect()}
+    assert got == {"u": False, "v": True}
+
+
+def test_unsupported_flags_raise_before_anything_runs(spark):
+    with pytest.raises(NotImplementedError, match="add_subtitles"):
+        pipeline.process(spark.range(1), "facebook_page_posts", pipeline.Context({"add_subtitles": True}))
+
+
+def test_state_is_left_for_the_caller(spark):
+    """Places of authors and unknown sources, and one call for each request of two model passes."""
+    from medialoom.sources.providers import Providers
+
+    d = mappers.document(spark.createDataFrame([(1, "https://p/1", "in Lima"), (2, "https://p/2/", "nowhere")], "_ord long, u string, t string"), {"url": F.concat(F.lit("https://unknown.org/"), F.col("_ord")), "profile_url": F.col("u"), "body": F.col("t"), "type": F.lit("facebook")}, "_ord")
+    users = spark.createDataFrame([("https://p/1", None, None)], "profile_url string, website_visits long, location_author_geoid string")
+    place = "map<string,array<struct<geoid:string,formatted_name:string,precision_level:string>>>"
+    geocode = lambda x: x.withColumn("groups", F.when(F.col("body").contains("Lima"), F.expr("map('2', array(struct('_001' AS geoid, 'Lima' AS formatted_name, '1' AS precision_level)))")).cast(place))
+    calls = spark.sparkContext.accumulator(0)
+
+    def answer(prompt):
+        calls.add(1)
+        return "[1, 2]"
+
+    from medialoom.sources.providers import model_provider
+
+    c = pipeline.Context({"llm_filter_condition": "x"}, Providers(model=model_provider(answer, pause=0), geocode=geocode), users=users)
+    out = pipeline.process(d, "google_news", c)
+    assert out.count() == out.count() == 2
+    assert calls.value == 1  # both passes ask the same, and no plan asks twice
+    saved = {r.profile_url: r.location_author_geoid for r in c.results["users"].collect()}
+    assert saved["https://p/1"] == "_001" and c.results["answers"].count() == 1
+
+
+def test_fetching_keeps_what_pages_lack(spark):
+    from medialoom.operators import enrich
+
+    news = mappers.document(spark.createDataFrame([(1, "a"), (2, "b")], "_ord long, u string"), {"url": F.col("u"), "title": F.lit("old"), "media_urls": F.array(F.lit("m"))}, "_ord")
+    pages = spark.createDataFrame([("a", "c", "<x>"), ("b", None, None)], "url string, final_url string, html string")
+    extract = lambda p: p.select("url", F.lit("new").alias("title"), F.array().cast("array<string>").alias("media_urls"))
+    got = {r._ord: (r.url, r.title, r.media_urls) for r in enrich.fetched(news, pages, extract).collect()}
+    assert got == {1: ("c", "new", ["m"]), 2: ("b", "old", ["m"])}
