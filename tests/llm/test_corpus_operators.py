@@ -251,6 +251,35 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.describe(warc.read_archive(spark, path + "2")).where("record_type = 'revisit'").count() == 0
     warc.write_archive(d.limit(0), path + "3")
     assert warc.describe(warc.read_archive(spark, path + "3")).count() == 0
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target")
+    for end in ("", "2", "3"):
+        both = [collections.Counter(tuple(x[c] for c in columns) for x in y.collect()) for y in (warc.listed(spark, path + end), warc.describe(warc.read_archive(spark, path + end)))]
+        assert both[0] == both[1]
+
+
+def test_warc_hot_key(spark, tmp_path):
+    """A third of all rows share one payload; the others, over a thousand, have their own."""
+    rows = [(i, f"u{i}", "hot" if i % 3 == 0 else f"page {i // 2}" if i % 3 == 1 else f"own {i}") for i in range(4500)]
+    path = f"file://{tmp_path}/hot"
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    hot = warc.hot_keys(spark.read.parquet(path + "/payloads")).collect()
+    assert [x.key for x in hot] == [hashlib.sha256(b"hot").hexdigest()]
+    first = {}
+    for i, _, t in rows:
+        first.setdefault(t, i)
+    want = {i: (len(t), u, "response" if first[t] == i else "revisit", None if first[t] == i else first[t]) for i, u, t in rows}
+    got = warc.listed(spark, path).collect()
+    assert len(got) == len(rows) and {x.page_id: (x.payload_bytes, x.target, x.record_type, x.refers_to) for x in got} == want
+
+
+def test_warc_false_payload_raises(spark, tmp_path):
+    path = f"file://{tmp_path}/false"
+    warc.write_archive(spark.createDataFrame([(1, "u", "a"), (2, "u", "a"), (3, "u", "b")], "page_id long, url string, html string"), path)
+    spark.sql(f"DROP TABLE {warc.payload_table(path)}")
+    p = spark.read.parquet(path + "/payloads").collect()
+    spark.createDataFrame([(x.key, bytearray(b"c"), x.first_id, x.records) for x in p], "key string, payload binary, first_id long, records long").write.mode("overwrite").parquet(path + "/payloads")
+    with pytest.raises(Exception, match="does not match"):
+        warc.listed(spark, path)
 
 
 def test_licenses(spark):
