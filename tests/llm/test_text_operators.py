@@ -122,6 +122,72 @@ def test_transducer_equals_library():
         assert m.decode(ids).decode() == t.replace("▁", " ")
 
 
+def test_runs_of_marks_take_the_shortest_path():
+    import sentencepiece
+
+    path = pt.path("piece_bpe_32k.model")
+    with open(path, "rb") as f:
+        m = piece_fst.Model(f.read())
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    for k in range(52):
+        for w in ["", "the", "!", "é", "\U0001f600", "hello!!", "▁a", "\n", "a" + " " * 17 + "b"]:
+            assert m.encode(" " * k + w) == sp.encode(" " * k + w)
+
+
+@pytest.mark.parametrize("rule", ["nfkc", "nmt_nfkc_cf"])
+@pytest.mark.parametrize("bytes_of_unknown", [True, False])
+@pytest.mark.parametrize("kind", [1, 2])
+def test_character_maps_equal_library(rule, bytes_of_unknown, kind):
+    """The same pieces under the library's own character maps, as a unigram and as a BPE model."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    r, m, n = random.Random(kind), pb.ModelProto(), pb.ModelProto()
+    with open(pt.path("piece_bpe_32k.model"), "rb") as f:
+        m.ParseFromString(f.read())
+    n.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto())
+    m.normalizer_spec.CopyFrom(n.normalizer_spec)
+    m.normalizer_spec.remove_extra_whitespaces = kind == 1
+    m.trainer_spec.byte_fallback, m.trainer_spec.model_type = bytes_of_unknown, kind
+    pieces = [p for p in m.pieces if bytes_of_unknown or p.type != 6]
+    del m.pieces[:]
+    m.pieces.extend(pieces)
+    for p in m.pieces if kind == 1 else []:
+        p.score = -1 - 12 * r.random() if p.type == 1 else p.score
+    x, lib = piece_fst.Model(m.SerializeToString()), sentencepiece.SentencePieceProcessor(model_proto=m.SerializeToString())
+    norm = sentencepiece.SentencePieceNormalizer(model_proto=m.SerializeToString())
+    pool = ["a", "e\u0301", "ﬁ", "①", "\u3000", "  ", " ", "¨", "Ａ", "ß", "\u200b", "\n", "\t", "\x01", "한", "\u1100\u1161", "😀", "the", "▁", "ｶﾞ", "İ"]
+    for _ in range(800):
+        t = "".join(r.choice(pool) for _ in range(r.randint(0, 12)))
+        assert x.normalise(t) == norm.normalize(t)
+        assert x.encode(t) == lib.encode(t)
+
+
+def test_what_is_not_compiled_is_refused():
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    def model(kind: int, pieces: list[tuple[str, float, int]]) -> bytes:
+        m = pb.ModelProto()
+        m.trainer_spec.model_type = kind
+        for p, s, t in [("<unk>", 0, 2), ("a", -1, 1), ("b", -2, 1), *pieces]:
+            m.pieces.add(piece=p, score=s, type=t)
+        return m.SerializeToString()
+
+    for bad in [model(3, []), model(1, [("<sep>", 0, 4)]), model(2, [("ab", -3, 1), ("ba", -3, 1)]), model(2, [("ab", -3, 5)])]:
+        with pytest.raises(ValueError):
+            piece_fst.Model(bad)
+
+
+def test_very_long_text_without_spaces():
+    import sentencepiece
+
+    path = pt.path("piece_bpe_32k.model")
+    with open(path, "rb") as f:
+        m = piece_fst.Model(f.read())
+    t = "".join(random.Random(9).choices("abcdefé٣", k=60_000))
+    assert m.encode(t) == sentencepiece.SentencePieceProcessor(model_file=path).encode(t)
+
+
 def test_transducer_in_spark(spark):
     path = pt.path("piece_bpe_32k.model")
     d = odd_docs(spark)
