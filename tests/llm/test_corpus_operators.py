@@ -332,3 +332,23 @@ def test_pipeline(spark):
     want = left.count()
     got = corpus_pipeline.run(spark, DATA)
     assert got.count() == want < docs.count() and got.where("NOT round_trip").count() == 0
+
+
+def test_pipeline_defined_cases(spark, tmp_path):
+    """Nulls, empty texts, repeated rows, clashing extra columns, and empty tables."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    from medialoom.llm import quality
+
+    good = [r.text for r in quality.clean(spark.read.parquet(f"{DATA}/documents.parquet")).where("length(text) > 1500").orderBy("doc_id").limit(5).collect()]
+    rows = [(1, good[0], "en", "s", 1, "x", 7), (2, good[0], None, None, None, None, None), (3, None, "en", "s", 1, "x", 7), (4, "", "en", "s", 0, "x", 7)]
+    rows += [(5, good[1], "en", "s", 1, "x", 7)] * 2 + [(None, good[2], None, None, None, None, None), (6, " \n ", None, "s", 1, "x", 7), (7, good[3], "en", "s", 1, "x", 7)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, key long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, "nothing"), (1, None), (2, good[3])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted({r.doc_id or 0 for r in got}) == [0, 1, 5]  # 2 copies 1, 3, 4 and 6 have no words, 7 leaks an item
+    assert all(r.n_tokens for r in got)
+    empty = tmp_path / "empty"
+    spark.createDataFrame([], schema).write.parquet(f"{empty}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0
