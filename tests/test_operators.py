@@ -391,3 +391,19 @@ def test_fetching_keeps_what_pages_lack(spark):
     extract = lambda p: p.select("url", F.lit("new").alias("title"), F.array().cast("array<string>").alias("media_urls"))
     got = {r._ord: (r.url, r.title, r.media_urls) for r in enrich.fetched(news, pages, extract).collect()}
     assert got == {1: ("c", "new", ["m"]), 2: ("b", "old", ["m"])}
+
+
+def test_shared_folder_of_a_local_session_without_one():
+    from types import SimpleNamespace
+
+    from medialoom.operators.stored import shared_dir
+
+    def session(master, folder=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: folder), sparkContext=SimpleNamespace(master=master))
+
+    own = shared_dir(session("local[2]"))
+    assert own.startswith("file://") and shared_dir(session("local[2]")) == own
+    assert shared_dir(session("yarn", "hdfs://x/y/")) == "hdfs://x/y"
+    for master in ["yarn", "spark://h:7077", "local-cluster[2,1,1024]"]:
+        with pytest.raises(ValueError):
+            shared_dir(session(master))
