@@ -142,13 +142,14 @@ def attach_comments(posts: DataFrame, comments: DataFrame, url: str = "post_url"
     return joined.withColumn("comments", F.coalesce("_c", other)).drop("_c_url", "_c")
 
 
-def attach_articles(posts: DataFrame, articles: DataFrame, link: Column) -> DataFrame:
+def attach_articles(posts: DataFrame, articles: DataFrame, link: Column, key: str = "url") -> DataFrame:
     """Adds the linked article's text and fills null places from it.
 
-    ``articles``: url, body, timestamp and place fields, one row per URL.
+    ``articles``: url, body, timestamp and place fields, one row per ``key``, which
+    ``link`` names.  Where several pages share a URL, the key is their id.
     """
     place = [f for f in PLACE if f in articles.columns]
-    a = articles.select(F.col("url").alias("_a_url"), F.struct(*articles.columns).alias("attached_news"))
+    a = articles.select(F.col(key).alias("_a_url"), F.struct(*articles.columns).alias("attached_news"))
     joined = posts.withColumn("_link", link).join(a, F.col("_link") == F.col("_a_url"), "left")
     got = F.col("attached_news")
     if "timestamp" in articles.columns:

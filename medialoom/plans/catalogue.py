@@ -306,9 +306,9 @@ def article_meaningful(s, d):
       FROM posts LEFT JOIN (SELECT page_id, url AS url_p, html FROM pages) ON page_id = doc_id""",
 )
 def attach_article(s, d):
-    p = read(s, d, "pages")
-    x = posts(s, d).join(p.select(F.col("page_id").alias("doc_id"), F.col("url").alias("link")), "doc_id", "left")
-    out = lookups.attach_articles(x, p.select("url", F.col("html").alias("body")), F.col("link"))
+    """A post links the page of its number: pages can share a URL."""
+    p = read(s, d, "pages").select("page_id", "url", F.col("html").alias("body"))
+    out = lookups.attach_articles(posts(s, d), p, F.col("doc_id"), "page_id")
     return out.select("doc_id", "body", F.col("attached_news.url").alias("article"))
 
 

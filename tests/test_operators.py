@@ -407,3 +407,14 @@ def test_shared_folder_of_a_local_session_without_one():
     for master in ["yarn", "spark://h:7077", "local-cluster[2,1,1024]"]:
         with pytest.raises(ValueError):
             shared_dir(session(master))
+
+
+def test_pages_that_share_a_url_attach_once(spark, tmp_path):
+    from medialoom.plans import catalogue
+
+    texts = [(k, f"text {k}", "en", "s", 6) for k in range(4)]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, "http://a/1", "x"), (2, "http://a/1", "y"), (3, "http://a/3", "z"), (9, "http://a/9", "w")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(tuple(r) for r in catalogue.attach_article(spark, str(tmp_path)).collect())
+    tag = "\n\n attached_url_text: "
+    assert got == [(0, f"text 0{tag}x", "http://a/1"), (1, "text 1", None), (2, f"text 2{tag}y", "http://a/1"), (3, f"text 3{tag}z", "http://a/3")]
