@@ -514,9 +514,8 @@ def flatten_record(s, d):
     f"WITH {POSTS} SELECT doc_id AS _ord, 0 AS _part, url FROM posts UNION ALL SELECT page_id, 1, url FROM pages WHERE page_id IN (SELECT doc_id FROM documents)",
 )
 def expand_attached(s, d):
-    p = read(s, d, "pages")
-    x = posts(s, d).join(p.select(F.col("page_id").alias("doc_id"), F.col("url").alias("link")), "doc_id", "left")
-    return lookups.with_attached(lookups.attach_articles(x, p.select("url", F.col("html").alias("body")), F.col("link")), ["url"])
+    p = read(s, d, "pages").select("page_id", "url", F.col("html").alias("body"))
+    return lookups.with_attached(lookups.attach_articles(posts(s, d), p, F.col("doc_id"), "page_id"), ["url"])
 
 
 _TASKS = [

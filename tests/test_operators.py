@@ -418,3 +418,5 @@ def test_pages_that_share_a_url_attach_once(spark, tmp_path):
     got = sorted(tuple(r) for r in catalogue.attach_article(spark, str(tmp_path)).collect())
     tag = "\n\n attached_url_text: "
     assert got == [(0, f"text 0{tag}x", "http://a/1"), (1, "text 1", None), (2, f"text 2{tag}y", "http://a/1"), (3, f"text 3{tag}z", "http://a/3")]
+    got = sorted(tuple(r) for r in catalogue.expand_attached(spark, str(tmp_path)).collect())
+    assert got == sorted([(k, 0, f"https://s.example.com/doc/{k}") for k in range(4)] + [(0, 1, "http://a/1"), (2, 1, "http://a/1"), (3, 1, "http://a/3")])
