@@ -83,7 +83,8 @@ def links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
     stored, path = materialise(stored.select("seg", "own", "other", "fp", F.coalesce("many", F.lit(False)).alias("many")), "segments")
     # a dense value is one marker row in its table
     tables = stored.where("NOT many").select("seg", "own", F.col("fp").alias("b")).unionByName(stored.where("many").select("seg", "own").distinct().withColumn("b", F.lit(None).cast("long")))
-    asked = sides.select("fp", "seg", "other", F.expr(f"explode({_ball('own')})").alias("value"), "own")
+    # 66 rows a fingerprint, of which Spark's estimate counts one: it must never be broadcast
+    asked = sides.select("fp", "seg", "other", F.expr(f"explode({_ball('own')})").alias("value"), "own").hint("merge")
     met = asked.join(tables, (asked["seg"] == tables["seg"]) & (asked["value"] == tables["own"])).select(asked["fp"].alias("a"), "b", asked["seg"].alias("seg"), "value", "other", (asked["own"] == F.col("value")).alias("same"))
     plain = met.where("b IS NOT NULL AND a <> b")
     crowd = met.where("b IS NULL")
@@ -103,7 +104,8 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     least = linked.groupBy("label").agg(F.min("least_id").alias("group_id"))
     merged = linked.join(least, "label").select("fp", "group_id")
     final = by_fp.join(merged, "fp", "left").select("fp", F.coalesce("group_id", "least_id").alias("component_id"))
-    return f.join(final, "fp").select("doc_id", "fp", "component_id")
+    # f has a row a document and is estimated by its compressed file
+    return f.hint("merge").join(final, "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:

@@ -7,6 +7,7 @@ import collections
 import hashlib
 import os
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -85,6 +86,13 @@ def test_simhash_links_on_planted_fingerprints(spark, dense):
     assert all(0 < ((x.a ^ x.b) % 2**64).bit_count() <= 2 for x in pairs.collect())
 
 
+def test_simhash_never_broadcasts_look_ups(spark):
+    pairs = simhash.links(spark.createDataFrame([(k,) for k in range(50)], "fp long"))
+    joins = re.findall(r"(\w+Join) \[([^\]]*)\]", pairs._jdf.queryExecution().sparkPlan().toString())
+    by_value = {kind for kind, keys in joins if re.search(r"value#\d+L?", keys) and "mid" not in keys}
+    assert by_value == {"SortMergeJoin"}
+
+
 def test_simhash_keeps_one_of_a_group(spark):
     d = spark.createDataFrame([(3, "a b c d e f", "k"), (1, "a b c d e f", "k"), (2, "other words are here now yes", None), (None, "a b c d e f", "k")], "doc_id long, text string, component_id string")
     assert sorted((str(r.doc_id), r.component_id) for r in simhash.drop_near_duplicates(d).collect()) == [("1", "k"), ("2", None), ("None", "k")]
