@@ -1,11 +1,16 @@
 """Groups of documents whose shingle sets have a Jaccard similarity of 0.8 or more.
 
-Every distinct set of five-word shingles gets ``BANDS`` keys of ``ROWS`` MinHash values
-each.  Two sets of similarity 0.8 share no key with a probability of (1 - 0.8^5)^24,
-below 0.0001; sets that share one are candidates.  Each key gives a star of links, so no
-pairs are enumerated; the components of these links are dealt to tasks, where every
-pair of a component that shares a key is linked only after its exact similarity is found
-to be 0.8 or more.  Pairs that are in one group already are not compared again.
+Every distinct set of five-word shingles has a SimHash fingerprint, the majority bits of
+its shingles.  Fingerprints within two bits are found by multi-index hashing (``simhash``:
+segment tables, radius-1 balls, complete distances verified), and the component they are
+in is a key of the set.  Near copies of similarity 0.8 lie up to 14 bits apart, beyond any
+ball that can be enumerated, so each set has ``BANDS`` more keys of ``ROWS`` MinHash
+values each: two sets of similarity 0.8 share none of these with a probability of
+(1 - 0.8^5)^24, below 0.0001.  Sets that share a key are candidates.  Each key gives a
+star of links, so no pairs are enumerated; the components of these links are dealt to
+tasks, where every pair of a component that shares a key is linked only after its exact
+similarity is found to be 0.8 or more.  Pairs that are in one group already are not
+compared again.
 
 A shingle is its 64-bit hash, a set is known by the 64-bit hash of its sorted shingles.
 Defined cases: case does not count; a text of fewer words than ``width`` is one shingle
@@ -25,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from medialoom.llm.common import batch_of, drop_path, materialise, pick, released, texts_of
 from medialoom.llm.components import connected_components
+from medialoom.llm.simhash import links, majority
 from medialoom.llm.substring import window_hashes
 
 #: At least SIMILAR[0] / SIMILAR[1] of the union is common.
@@ -96,19 +102,27 @@ def grouped(sets: list[np.ndarray], keys: list[list[int]]) -> list[int]:
     return [find(x) for x in range(len(sets))]
 
 
-def kept_ids(docs: DataFrame, width: int = 5) -> DataFrame:
-    """The smallest doc_id of each group."""
+def gone_ids(docs: DataFrame, width: int = 5, bands: int = BANDS) -> DataFrame:
+    """Each doc_id that is not the smallest of a group.
+
+    ``bands``: MinHash keys a set; with none, only fingerprints give candidates.
+    """
+    spark = docs.sparkSession
     rows = pick(docs, doc_id="long", text="string").where("doc_id IS NOT NULL")
-    schema = T.StructType.fromDDL("doc_id long, node long, keys array<long>")
+    schema = T.StructType.fromDDL("doc_id long, node long, fp long, keys array<long>")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t, width) for t in texts_of(b, "text")]
-            yield batch_of(schema, doc_id=b.column(0), node=list(map(set_hash, sets)), keys=list(map(band_keys, sets)))
-
-    signed = rows.mapInArrow(released(sign), schema).groupBy("node").agg(F.min("doc_id").alias("least_id"), F.any_value("keys").alias("keys"))
-    by_node, path = materialise(signed, "shingle-sets")
-    keyed = by_node.select("node", F.explode("keys").alias("key"))
+            yield batch_of(schema, doc_id=b.column(0), node=list(map(set_hash, sets)), fp=list(map(majority, sets)), keys=[band_keys(s)[:bands] for s in sets])
+
+    signed, signed_path = materialise(rows.mapInArrow(released(sign), schema), "signed")
+    prints, prints_path = materialise(signed.select("fp").distinct(), "distinct-fp")
+    within = connected_components(links(prints)).select(F.col("node").alias("fp"), F.col("label").alias("print_group"))
+    sets = signed.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.any_value("fp").alias("fp"), F.any_value("keys").alias("keys")).join(within, "fp", "left")
+    by_node, path = materialise(sets.select("node", "least_id", F.concat("keys", F.array(F.coalesce("print_group", "fp"))).alias("keys")), "shingle-sets")
+    # many rows a set, of which Spark's estimate counts one
+    keyed = by_node.select("node", F.explode("keys").alias("key")).hint("merge")
     met = keyed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
     near = connected_components(keyed.join(met, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct())
 
@@ -128,6 +142,9 @@ def kept_ids(docs: DataFrame, width: int = 5) -> DataFrame:
         return pa.Table.from_batches([batch_of(out_schema, node=nodes, group_id=[found[nodes[x]][2] for x in first])])
 
     linked = with_text.groupBy("label").applyInArrow(link, out_schema)
-    kept, _ = materialise(by_node.join(linked, "node", "left").select(F.coalesce("group_id", "least_id").alias("doc_id")).distinct(), "kept-ids")
-    drop_path(docs.sparkSession, path)
-    return kept
+    kept = by_node.join(linked, "node", "left").select(F.coalesce("group_id", "least_id").alias("doc_id"))
+    # fewer than those that stay, so that they are broadcast longer and the texts not moved
+    gone, _ = materialise(signed.select("doc_id").distinct().join(kept, "doc_id", "left_anti"), "gone-ids")
+    for p in (signed_path, prints_path, path):
+        drop_path(spark, p)
+    return gone

@@ -28,7 +28,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from medialoom.llm import resemblance
 from medialoom.llm.common import batch_of, materialise, pick, texts_of
 from medialoom.llm.components import connected_components
 
@@ -47,10 +46,14 @@ def fingerprint(text: bytes, width: int) -> int:
         shingles = [b" ".join(words)]
     else:
         shingles = list(map(b" ".join, zip(*(words[k:] for k in range(width)), strict=False)))
-    h = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), dtype="<u8", count=len(shingles))
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), dtype="<u8", count=len(shingles)))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that over half of the 64-bit hashes have, as a signed number."""
     votes = np.zeros(64, dtype=np.int64)
     for k in range(0, len(h), BLOCK):
-        part = h[k : k + BLOCK]
+        part = np.ascontiguousarray(h[k : k + BLOCK], dtype="<u8")
         votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * votes > len(h), bitorder="little").view("<i8")[0])
 
@@ -67,7 +70,7 @@ def fingerprints(docs: DataFrame, width: int = 5) -> DataFrame:
 
 
 def _ball(value: str) -> str:
-    """SQL array of the values of 32 bits within one bit of a value."""
+    """SQL array of the values within one of the lower 32 bits of a value."""
     return f"concat(array({value}), transform(sequence(0, 31), i -> {value} ^ shiftleft(1L, i)))"
 
 
@@ -77,20 +80,23 @@ def links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
     The pairs have the same components as all pairs within two bits.
     """
     low, high = "fp & 4294967295L", "shiftrightunsigned(fp, 32)"
-    sides = fps.selectExpr("fp", f"inline(array(struct(0 AS seg, {low} AS own, {high} AS other), struct(1 AS seg, {high} AS own, {low} AS other)))")
-    sizes = sides.groupBy("seg", "own").count()
-    stored = sides.join(sizes.where(F.col("count") > dense).select("seg", "own", F.lit(True).alias("many")), ["seg", "own"], "left")
-    stored, path = materialise(stored.select("seg", "own", "other", "fp", F.coalesce("many", F.lit(False)).alias("many")), "segments")
+    # a key is a segment's number in bit 32 above its value
+    sides = fps.selectExpr("fp", f"explode(array({low}, {high} | 4294967296L)) AS key")
+    sizes = sides.groupBy("key").count()
+    stored = sides.join(sizes.where(F.col("count") > dense).select("key", F.lit(True).alias("many")), "key", "left")
+    stored, path = materialise(stored.select("key", "fp", F.coalesce("many", F.lit(False)).alias("many")), "segments")
     # a dense value is one marker row in its table
-    tables = stored.where("NOT many").select("seg", "own", F.col("fp").alias("b")).unionByName(stored.where("many").select("seg", "own").distinct().withColumn("b", F.lit(None).cast("long")))
+    tables = stored.where("NOT many").select("key", F.col("fp").alias("b")).unionByName(stored.where("many").select("key").distinct().withColumn("b", F.lit(None).cast("long")))
     # 66 rows a fingerprint, of which Spark's estimate counts one: it must never be broadcast
-    asked = sides.select("fp", "seg", "other", F.expr(f"explode({_ball('own')})").alias("value"), "own").hint("merge")
-    met = asked.join(tables, (asked["seg"] == tables["seg"]) & (asked["value"] == tables["own"])).select(asked["fp"].alias("a"), "b", asked["seg"].alias("seg"), "value", "other", (asked["own"] == F.col("value")).alias("same"))
+    asked = sides.select("fp", F.expr(f"explode({_ball('key')})").alias("value")).hint("merge")
+    met = asked.join(tables, F.col("value") == tables["key"]).select(F.col("fp").alias("a"), "b", "value")
     plain = met.where("b IS NOT NULL AND a <> b")
-    crowd = met.where("b IS NULL")
-    filed = crowd.select("seg", "value", F.expr(f"explode(CASE WHEN same THEN {_ball('other')} ELSE array(other) END)").alias("mid"), "a", "same")
-    centers = filed.where("same").groupBy("seg", "value", "mid").agg(F.min("a").alias("b"))
-    stars = filed.join(centers, ["seg", "value", "mid"])
+    low, high = low.replace("fp", "a"), high.replace("fp", "a")
+    first = "value < 4294967296L"
+    crowd = met.where("b IS NULL").selectExpr("a", "value", f"CASE WHEN {first} THEN {high} ELSE {low} END AS other", f"value = CASE WHEN {first} THEN {low} ELSE {high} | 4294967296L END AS same")
+    filed = crowd.select("value", F.expr(f"explode(CASE WHEN same THEN {_ball('other')} ELSE array(other) END)").alias("mid"), "a", "same")
+    centers = filed.where("same").groupBy("value", "mid").agg(F.min("a").alias("b"))
+    stars = filed.join(centers, ["value", "mid"])
     both = plain.select("a", "b").unionByName(stars.select("a", "b"))
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b AND bit_count(a ^ b) <= 2").distinct()
 
@@ -111,11 +117,11 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     """Keep, of each group of similar shingle sets, the row of the smallest doc_id (all rows with that id).
 
-    Groups are those of ``resemblance``, not of fingerprints: two bits tell exact copies only.
+    Groups are those of ``resemblance``, for which fingerprints within two bits are candidates.
     """
-    keep = resemblance.kept_ids(docs, width)
-    nulls = docs.where(F.col("doc_id").isNull())
-    return docs.join(keep, "doc_id", "left_semi").select(docs.columns).unionByName(nulls)
+    from medialoom.llm import resemblance
+
+    return docs.join(resemblance.gone_ids(docs, width), "doc_id", "left_anti").select(docs.columns)
 
 
 def op4(spark, sf_dir) -> DataFrame:
