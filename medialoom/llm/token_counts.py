@@ -8,7 +8,9 @@ doubled, up to the whole text.
 
 Shorter texts rest on the same boundary: their tokens are those of their words, so each
 worker keeps the counts of words that it has met (at most ``memo`` of them) and sends
-only new words to the library.
+only new words to the library.  Of a new word in Latin or Cyrillic letters, ASCII digits
+and marks the pieces are known without the library's normaliser and pre-tokenizer, which
+take most of its time, so its pieces go to the library's model directly.
 
 Defined cases: null text reads as empty (0 tokens); special strings in a text count as
 the library's default has them; rows repeat as given; an empty table gives an empty
@@ -17,8 +19,10 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
@@ -28,9 +32,24 @@ from medialoom.llm.common import WS_CHARS, batch_of, pick, table, texts_of
 CHUNK, OVERLAP, MEMO, LIMIT = 1 << 14, 1 << 8, 1 << 20, 2048
 _LOADED: dict[str, tuple] = {}
 
+#: The normaliser and pre-tokenizer whose pieces ``PIECE`` finds in the words of ``PLAIN``.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+PRETOKENIZERS = [
+    {"type": "Split", "pattern": SPLIT, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: Letters of one code point in both cases (not U+0130), which NFC leaves as they are.
+LETTERS = "A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u017f\u0400-\u045f"
+PLAIN = re.compile(f"[!-~{LETTERS}]+")
+PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
+#: The byte-level alphabet: printable bytes are themselves, the others follow U+0100.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LEVEL = dict(zip(sorted(set(range(256)) - set(_PRINTED)), range(256, 512)))
+
 
 def load(path: str):
-    """The tokenizer of a .json file and its memo, once per worker."""
+    """The tokenizer of a .json file, its memo and the count of a word, once per worker."""
     if path not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -38,49 +57,90 @@ def load(path: str):
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        _LOADED[path] = (t, {})
+        _LOADED[path] = (t, {}, plain_counter(t))
     return _LOADED[path]
 
 
-def spliced(tok, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[tuple[int, int]]:
-    """(id, start offset) of the tokens of a text, from overlapping chunks."""
+def plain_counter(tok) -> Callable[[str], int | None]:
+    """Tokens of a word; none where only the library's whole encoding tells."""
+
+    def parts(x) -> dict:
+        return {} if x is None else json.loads(x.__getstate__())
+
+    if parts(tok.normalizer).get("normalizers") != NORMALIZERS or parts(tok.pre_tokenizer).get("pretokenizers") != PRETOKENIZERS:
+        return lambda word: None
+    tokenize, plain, pieces = tok.model.tokenize, PLAIN.fullmatch, PIECE.findall
+
+    def counted(word: str) -> int | None:
+        if not plain(word) or "<|" in word:  # a special string may be there
+            return None
+        word = word.lower()
+        if word.isascii():
+            return sum([len(tokenize(p)) for p in pieces(word)])
+        return sum([len(tokenize(p.encode().decode("latin-1").translate(BYTE_LEVEL))) for p in pieces(word)])
+
+    return counted
 
-    def encode(a: int, b: int) -> list[tuple[int, int]]:
-        e = tok.encode(text[a:b], add_special_tokens=False)
-        return [(i, a + s) for i, (s, _) in zip(e.ids, e.offsets, strict=True)]
 
-    out: list[tuple[int, int]] = []
-    left, at, end = encode(0, chunk), 0, min(chunk, len(text))
+def splices(tok, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[tuple]:
+    """The tokens of a text, from overlapping chunks: (encoding, its start, first token, token behind the last)."""
+
+    def encode(a: int, b: int) -> tuple:
+        return tok.encode(text[a:b], add_special_tokens=False), a
+
+    def place(e, a: int, s: int) -> int | None:
+        """The first token that starts at s."""
+        i = e.char_to_token(s - a)
+        if i is None or e.token_to_chars(i)[0] != s - a:
+            return None
+        while i and e.token_to_chars(i - 1)[0] == s - a:  # of no width
+            i -= 1
+        return i
+
+    left, at, first, end = encode(0, chunk), 0, 0, min(chunk, len(text))
     while end < len(text):
         wide = min(overlap, end - at)
         while True:
             start = end - wide
             nxt_end = min(len(text), start + wide + chunk)
             right = encode(start, nxt_end)
-            common = {s for _, s in left if s > start} & {s for _, s in right if s > start}
-            stable = max((s for s in common if s < end and text[s - 1] in WS_CHARS), default=None)
-            if stable is not None:
-                out += [x for x in left if x[1] < stable]
-                left = [x for x in right if x[1] >= stable]
-                at, end = stable, nxt_end
-                break
-            if wide == end - at:  # no stable place in all of what is left: extend it instead
+            for s in range(end - 1, start, -1):
+                if text[s - 1] in WS_CHARS and (i := place(*left, s)) is not None and (j := place(*right, s)) is not None:
+                    yield *left, first, i
+                    left, at, first, end = right, s, j, nxt_end
+                    break
+            else:
+                if wide < end - at:
+                    wide = min(2 * wide, end - at)
+                    continue
+                # no stable place in all of what is left: extend it instead
                 end = min(len(text), end + chunk)
-                left = encode(at, end)
-                break
-            wide = min(2 * wide, end - at)
-    return out + left
+                left, first = encode(at, end), 0
+            break
+    yield *left, first, len(left[0])
+
+
+def spliced(tok, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[tuple[int, int]]:
+    """(id, start offset) of the tokens of a text, from overlapping chunks."""
+    return [(x, a + s) for e, a, i, j in splices(tok, text, chunk, overlap) for x, (s, _) in zip(e.ids[i:j], e.offsets[i:j], strict=True)]
 
 
 def word_counts(path: str, words: set[bytes]) -> dict[bytes, int]:
     """The memo, with at least these words in it."""
-    tok, memo = load(path)
+    tok, memo, plain = load(path)
     new = [w for w in words if w not in memo]
     if len(memo) + len(new) > MEMO:
         memo.clear()
         new = list(words)
-    for k in range(0, len(new), 4096):
-        part = new[k : k + 4096]
+    odd = []
+    for w in new:
+        n = plain(w.decode())
+        if n is None:
+            odd.append(w)
+        else:
+            memo[w] = n
+    for k in range(0, len(odd), 4096):
+        part = odd[k : k + 4096]
         memo.update(zip(part, (len(e.ids) for e in tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)), strict=True))
     return memo
 
@@ -103,7 +163,7 @@ def count(path: str, texts: list[bytes]) -> list[int]:
 
     for i, t in enumerate(texts):
         if len(t) > CHUNK and len(s := t.decode()) > CHUNK:
-            out[i] = len(spliced(load(path)[0], s))
+            out[i] = sum(j - i for _, _, i, j in splices(load(path)[0], s))
             continue
         group.append((i, fold(t)))
         size += len(t)

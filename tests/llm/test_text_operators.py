@@ -108,6 +108,51 @@ def test_splicing_equals_whole_encoding(bpe):
         assert [i for i, _ in token_counts.spliced(tok, s, r.randint(5, 60), r.randint(1, 9))] == tok.encode(s, add_special_tokens=False).ids
 
 
+def test_splices_count_what_they_yield(bpe):
+    tok, r = token_counts.load(bpe)[0], random.Random(6)
+    for _ in range(60):
+        s = "".join(r.choice(["a", "İ", "e\u0301", "\u0301", " ", "\t\n", "क़", "12", "<|endoftext|>", "y" * 40, "日本", "\u3000", "'s"]) for _ in range(r.randint(0, 200)))
+        parts = list(token_counts.splices(tok, s, r.randint(5, 60), r.randint(1, 9)))
+        assert sum(j - i for *_, i, j in parts) == len(tok.encode(s, add_special_tokens=False).ids)
+
+
+def test_pieces_of_plain_words_equal_library(bpe):
+    tok, _, plain = token_counts.load(bpe)
+    letters = [c for c in map(chr, range(0x21, 0x460)) if token_counts.PLAIN.fullmatch(c)]
+    words = [w for c in letters for w in (c, f"a{c}b", f"A{c}.{c}1'", f"'{c}{c}", f"{c}'LL{c}--'s{c}12")]
+    r = random.Random(7)
+    words += ["".join(r.choices([*letters, "'", "'re", "-", "#", "9"], k=r.randint(1, 30))) for _ in range(3000)]
+    words = [w for w in words if "<|" not in w]
+    assert [plain(w) for w in words] == [len(e) for e in tok.encode_batch(words, add_special_tokens=False)]
+    assert [plain(w) for w in ["<|endoftext|>", "İ", "e\u0301", "a\u00a0b", "½", "日", "\x1c", ""]] == [None] * 8
+
+
+def test_library_encodes_few_new_words(bpe, monkeypatch):
+    """Its normaliser and pre-tokenizer cost more than its model: plain words go to the model alone."""
+    tok, _, plain = token_counts.load(bpe)
+    sent = []
+
+    class Counting:
+        def encode_batch_fast(self, words, **how):
+            sent.extend(words)
+            return tok.encode_batch_fast(words, **how)
+
+    monkeypatch.setitem(token_counts._LOADED, bpe, (Counting(), {}, plain))
+    texts = ["Erste Wörter, l'été!! 12$", "Привет don't 日本 İstanbul", "<|endoftext|> A"]
+    want = [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert token_counts.count(bpe, [t.encode() for t in texts]) == want
+    assert sorted(sent) == sorted(["日本", "İstanbul", "<|endoftext|>"])
+
+
+def test_other_tokenizers_know_no_pieces(bpe):
+    from tokenizers import Tokenizer, normalizers
+
+    tok = Tokenizer.from_file(bpe)
+    assert token_counts.plain_counter(tok)("a") == 1
+    tok.normalizer = normalizers.NFC()
+    assert token_counts.plain_counter(tok)("a") is None
+
+
 def test_transducer_equals_library():
     import sentencepiece
 
