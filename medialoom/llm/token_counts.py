@@ -1,4 +1,4 @@
-"""Exact token counts of whole texts, huge ones by overlap resynchronisation.
+"""Exact token counts of whole texts, long ones by overlap resynchronisation.
 
 A text longer than ``chunk`` characters is encoded as overlapping chunks with offsets.
 Neighbouring chunks are spliced at a boundary proven stable: a token starts there in
@@ -6,11 +6,14 @@ both encodings and the character before is ASCII white space, which the normalis
 the pre-tokenizer never join with anything.  When an overlap holds no such place, it is
 doubled, up to the whole text.
 
-Shorter texts rest on the same boundary: their tokens are those of their words, so each
-worker keeps the counts of words that it has met (at most ``memo`` of them) and sends
-only new words to the library.  Of a new word in Latin or Cyrillic letters, ASCII digits
-and marks the pieces are known without the library's normaliser and pre-tokenizer, which
-take most of its time, so its pieces go to the library's model directly.
+The library's normaliser and pre-tokenizer take most of its time.  In a plain text (see
+``LETTERS`` and ``MARKS``; no special string) the pieces that they give are known, so
+each worker sends pieces to the library's model directly and keeps the counts of short
+ones.  Chunks with other characters are encoded by the library as they are.
+
+Shorter texts with other characters rest on the same boundary: their tokens are those of
+their words, so each worker keeps the counts of words that it has met (at most ``memo``
+of them) and sends only new words, unless plain, to the library.
 
 Defined cases: null text reads as empty (0 tokens); special strings in a text count as
 the library's default has them; rows repeat as given; an empty table gives an empty
@@ -22,34 +25,48 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Callable, Iterator
+from bisect import bisect_left
+from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 from medialoom.llm.common import WS_CHARS, batch_of, pick, table, texts_of
 
-CHUNK, OVERLAP, MEMO, LIMIT = 1 << 14, 1 << 8, 1 << 20, 2048
+CHUNK, OVERLAP, MEMO, LIMIT = 1 << 11, 1 << 7, 1 << 20, 2048
+#: Longer pieces are not kept: they rarely repeat, and the memo counts entries.
+KEPT = 64
 _LOADED: dict[str, tuple] = {}
 
-#: The normaliser and pre-tokenizer whose pieces ``PIECE`` finds in the words of ``PLAIN``.
+#: The normaliser and pre-tokenizer whose pieces ``PIECE`` finds in a plain text.
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 SPLIT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
 PRETOKENIZERS = [
     {"type": "Split", "pattern": SPLIT, "behavior": "Removed", "invert": True},
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
 ]
-#: Letters of one code point in both cases (not U+0130), which NFC leaves as they are.
-LETTERS = "A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u017f\u0400-\u045f"
-PLAIN = re.compile(f"[!-~{LETTERS}]+")
-PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
+#: Letters (Latin, Greek, Cyrillic, Hebrew, Arabic, Hangul) that NFC leaves as they are and whose
+#: lower case is one letter wherever they stand: not U+0130, not the capital sigma.
+LETTERS = (
+    r"A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u017f\u0386\u0388-\u038a\u038c\u038e-\u03a1\u03a4-\u03ce"
+    r"\u0400-\u045f\u05d0-\u05ea\u0621-\u063a\u0641-\u064a\uac00-\ud7a3"
+)
+#: What is neither letter, number nor white space: ASCII, Latin-1, Arabic, dashes and quotes, the euro.
+MARKS = (
+    r"!-/:-@\[-`{-~¡-©«-±´¶-¸»¿×÷"
+    r"\u060c\u061b\u061f\u2010-\u2027\u20ac"
+)
+PLAIN = re.compile(f"[{WS_CHARS}0-9{MARKS}{LETTERS}]+")
+#: White space too, which has no tokens, so that the pieces make up the text.
+PIECE = re.compile(f"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[{WS_CHARS}]+|[0-9]|[^{WS_CHARS}0-9{LETTERS}]+")
 #: The byte-level alphabet: printable bytes are themselves, the others follow U+0100.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_LEVEL = dict(zip(sorted(set(range(256)) - set(_PRINTED)), range(256, 512)))
 
 
 def load(path: str):
-    """The tokenizer of a .json file, its memo and the count of a word, once per worker."""
+    """The tokenizer of a .json file, its memo of words and its pieces, once per worker."""
     if path not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -61,35 +78,76 @@ def load(path: str):
     return _LOADED[path]
 
 
-def plain_counter(tok) -> Callable[[str], int | None]:
-    """Tokens of a word; none where only the library's whole encoding tells."""
+class Pieces(dict):
+    """Token counts of pieces by the model alone; called with a text, those of the text."""
 
-    def parts(x) -> dict:
-        return {} if x is None else json.loads(x.__getstate__())
+    def __init__(self, model, known: bool):
+        super().__init__()
+        self.tokenize, self.known = model.tokenize, known
 
-    if parts(tok.normalizer).get("normalizers") != NORMALIZERS or parts(tok.pre_tokenizer).get("pretokenizers") != PRETOKENIZERS:
-        return lambda word: None
-    tokenize, plain, pieces = tok.model.tokenize, PLAIN.fullmatch, PIECE.findall
-
-    def counted(word: str) -> int | None:
-        if not plain(word) or "<|" in word:  # a special string may be there
+    def __missing__(self, piece: str) -> int:
+        if piece[0] in WS_CHARS:
+            n = 0
+        else:
+            n = len(self.tokenize(piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_LEVEL)))
+        if len(piece) <= KEPT:
+            if len(self) >= MEMO:
+                self.clear()
+            self[piece] = n
+        return n
+
+    def of(self, text: str) -> list[str] | None:
+        """The pieces of a plain text; none where only the library's whole encoding tells."""
+        if not self.known or "<|" in text or not PLAIN.fullmatch(text):  # a special string may be there
             return None
-        word = word.lower()
-        if word.isascii():
-            return sum([len(tokenize(p)) for p in pieces(word)])
-        return sum([len(tokenize(p.encode().decode("latin-1").translate(BYTE_LEVEL))) for p in pieces(word)])
+        return PIECE.findall(text.lower())
+
+    def __call__(self, text: str) -> int | None:
+        found = self.of(text)
+        return None if found is None else sum(map(self.__getitem__, found))
+
+    def encoded(self, text: str) -> Plain | None:
+        found = self.of(text)
+        return None if found is None else Plain([0, *accumulate(map(len, found))], [0, *accumulate(map(self.__getitem__, found))])
+
+
+class Plain:
+    """Encoding of a plain text: where its pieces start, and the tokens before each."""
+
+    def __init__(self, starts: list[int], before: list[int]):
+        self.starts, self.before = starts, before
+
+    def __len__(self) -> int:
+        return self.before[-1]
+
+    def token_at(self, s: int) -> int | None:
+        k = bisect_left(self.starts, s)
+        if k + 1 < len(self.starts) and self.starts[k] == s and self.before[k] < self.before[k + 1]:
+            return self.before[k]
+        return None
+
+
+def plain_counter(tok) -> Pieces:
+    """The pieces of a tokenizer; none are known to one that normalises or splits in another way."""
+
+    def parts(x) -> dict:
+        return {} if x is None else json.loads(x.__getstate__())
 
-    return counted
+    known = parts(tok.normalizer).get("normalizers") == NORMALIZERS and parts(tok.pre_tokenizer).get("pretokenizers") == PRETOKENIZERS
+    return Pieces(tok.model, known)
 
 
-def splices(tok, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[tuple]:
+def splices(tok, text: str, chunk: int = CHUNK, overlap: int = OVERLAP, pieces: Pieces | None = None) -> Iterator[tuple]:
     """The tokens of a text, from overlapping chunks: (encoding, its start, first token, token behind the last)."""
 
     def encode(a: int, b: int) -> tuple:
-        return tok.encode(text[a:b], add_special_tokens=False), a
+        e = None if pieces is None else pieces.encoded(text[a:b])
+        return tok.encode(text[a:b], add_special_tokens=False) if e is None else e, a
 
     def place(e, a: int, s: int) -> int | None:
         """The first token that starts at s."""
+        if isinstance(e, Plain):
+            return e.token_at(s - a)
         i = e.char_to_token(s - a)
         if i is None or e.token_to_chars(i)[0] != s - a:
             return None
@@ -113,8 +171,8 @@ def splices(tok, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Itera
                 if wide < end - at:
                     wide = min(2 * wide, end - at)
                     continue
-                # no stable place in all of what is left: extend it instead
-                end = min(len(text), end + chunk)
+                # no stable place in all of what is left: double it instead
+                end = min(len(text), 2 * end - at)
                 left, first = encode(at, end), 0
             break
     yield *left, first, len(left[0])
@@ -151,6 +209,7 @@ def fold(text: bytes) -> list[bytes]:
 
 
 def count(path: str, texts: list[bytes]) -> list[int]:
+    tok, _, pieces = load(path)
     out: list[int | None] = [None] * len(texts)
     group: list[tuple[int, list[bytes]]] = []
     size = 0
@@ -162,11 +221,14 @@ def count(path: str, texts: list[bytes]) -> list[int]:
         group.clear()
 
     for i, t in enumerate(texts):
-        if len(t) > CHUNK and len(s := t.decode()) > CHUNK:
-            out[i] = sum(j - i for _, _, i, j in splices(load(path)[0], s))
+        s = t.decode()
+        if len(s) > CHUNK:
+            out[i] = sum(end - first for *_, first, end in splices(tok, s, pieces=pieces))
             continue
-        group.append((i, fold(t)))
-        size += len(t)
+        out[i] = pieces(s)
+        if out[i] is None:
+            group.append((i, fold(t)))
+            size += len(t)
         if size > 4_000_000:
             flush()
             size = 0

@@ -144,6 +144,55 @@ def test_library_encodes_few_new_words(bpe, monkeypatch):
     assert sorted(sent) == sorted(["日本", "İstanbul", "<|endoftext|>"])
 
 
+def test_every_plain_character_is_split_as_the_library_splits_it(bpe):
+    import unicodedata
+
+    tok, _, plain = token_counts.load(bpe)
+    known = [c for c in map(chr, [*range(0xD800), *range(0xE000, 0x10000)]) if token_counts.PLAIN.fullmatch(c)]
+    texts = [w for c in known for w in (f"{c}.{c} {c}{c}", f"a{c}b{c}1'")]
+    assert [plain(w) for w in texts] == [len(e) for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert all(unicodedata.is_normalized("NFC", f"{a}{c}") for c in known for a in "aΑ가ا") and all(len(f"A{c}".lower()) == 2 for c in known)
+    assert token_counts.PLAIN.fullmatch("\u03a3") is None and plain("ΑΣ.") is None
+
+
+def test_plain_and_other_chunks_splice(bpe):
+    """Chunks of pieces, chunks of the library and both beside each other give the library's count."""
+    tok, _, pieces = token_counts.load(bpe)
+    r, kinds = random.Random(8), collections.Counter()
+    plain = ["a", "B'LL", " ", "  ", "\r\n", "été", "ÉTÉ.", "x" * 50, "--", "12", "don't", "“q”", "가나", "Ж"]
+    odd = ["日本", "\u0301", "<|endoftext|>", "<|", "\u3000", "½", "ΑΣ", "\x1c"]
+    for n in range(300):
+        s = "".join(r.choice(odd if r.random() < (n % 3) / 20 else plain) for _ in range(r.randint(0, 200)))
+        parts = list(token_counts.splices(tok, s, r.randint(5, 60), r.randint(1, 9), pieces))
+        kinds.update(type(e).__name__ for e, *_ in parts)
+        assert sum(j - i for *_, i, j in parts) == len(tok.encode(s, add_special_tokens=False).ids), s
+    assert min(kinds["Plain"], kinds["Encoding"]) > 300
+
+
+def test_texts_over_a_chunk_are_spliced(bpe, monkeypatch):
+    """Also of a few thousand characters, most of all text, not only the rarest."""
+    tok, _, pieces = token_counts.load(bpe)
+    texts = ["Erste Wörter, l'été!! 12$ " * 100, "日本 the " * 400, "x" * 5000, "kurz"]
+    used, splices = [], token_counts.splices
+    monkeypatch.setattr(token_counts, "splices", lambda tok, s, **how: used.append(len(s)) or splices(tok, s, **how))
+    assert token_counts.count(bpe, [t.encode() for t in texts]) == [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert used == [len(t) for t in texts[:3]]
+    assert max(map(len, pieces)) <= token_counts.KEPT
+
+
+def test_unspaced_text_is_encoded_a_few_times_only(bpe):
+    tok, done = token_counts.load(bpe)[0], []
+
+    class Counting:
+        def encode(self, text, **how):
+            done.append(len(text))
+            return tok.encode(text, **how)
+
+    s = "日本語" * 4000 + " " + "x" * 3000
+    assert sum(j - i for *_, i, j in token_counts.splices(Counting(), s, 64, 8)) == len(tok.encode(s, add_special_tokens=False).ids)
+    assert sum(done) < 12 * len(s)
+
+
 def test_other_tokenizers_know_no_pieces(bpe):
     from tokenizers import Tokenizer, normalizers
 
