@@ -12,8 +12,8 @@ each worker sends pieces to the library's model directly and keeps the counts of
 ones.  Chunks with other characters are encoded by the library as they are.
 
 Shorter texts with other characters rest on the same boundary: their tokens are those of
-their words, so each worker keeps the counts of words that it has met (at most ``memo``
-of them) and sends only new words, unless plain, to the library.
+their words, so each worker keeps the counts of short words that it has met (at most
+``MEMO`` of them) and sends only new words, unless plain, to the library.
 
 Defined cases: null text reads as empty (0 tokens); special strings in a text count as
 the library's default has them; rows repeat as given; an empty table gives an empty
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, types as T
 from medialoom.llm.common import WS_CHARS, batch_of, pick, table, texts_of
 
 CHUNK, OVERLAP, MEMO, LIMIT = 1 << 11, 1 << 7, 1 << 20, 2048
-#: Longer pieces are not kept: they rarely repeat, and the memo counts entries.
+#: Longer pieces (characters) and words (bytes) are not kept: they rarely repeat, and the memos count entries.
 KEPT = 64
 _LOADED: dict[str, tuple] = {}
 
@@ -215,9 +215,13 @@ def count(path: str, texts: list[bytes]) -> list[int]:
     size = 0
 
     def flush() -> None:
-        memo = word_counts(path, set().union(*(w for _, w in group)))
+        words = set().union(*(w for _, w in group))
+        memo = word_counts(path, words)
         for i, w in group:
             out[i] = sum(map(memo.__getitem__, w))
+        for w in words:
+            if len(w) > KEPT:
+                del memo[w]
         group.clear()
 
     for i, t in enumerate(texts):

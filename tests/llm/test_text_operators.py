@@ -180,6 +180,16 @@ def test_texts_over_a_chunk_are_spliced(bpe, monkeypatch):
     assert max(map(len, pieces)) <= token_counts.KEPT
 
 
+def test_long_words_are_not_kept(bpe, monkeypatch):
+    """Unspaced texts are words of up to a chunk, which would fill a worker's memory."""
+    tok, _, pieces = token_counts.load(bpe)
+    memo = {}
+    monkeypatch.setitem(token_counts._LOADED, bpe, (tok, memo, pieces))
+    texts = ["日本語" * 300, "日本 " + "語" * 40 + " 日本", "é́ " + "y" * 100, "日本語" * 300]
+    assert token_counts.count(bpe, [t.encode() for t in texts]) == [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert set(memo) == {"日本".encode(), "é́".encode()}
+
+
 def test_unspaced_text_is_encoded_a_few_times_only(bpe):
     tok, done = token_counts.load(bpe)[0], []
 
