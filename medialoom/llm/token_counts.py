@@ -9,11 +9,12 @@ doubled, up to the whole text.
 The library's normaliser and pre-tokenizer take most of its time.  In a plain text (see
 ``LETTERS`` and ``MARKS``; no special string) the pieces that they give are known, so
 each worker sends pieces to the library's model directly and keeps the counts of short
-ones.  Chunks with other characters are encoded by the library as they are.
+ones.
 
-Shorter texts with other characters rest on the same boundary: their tokens are those of
-their words, so each worker keeps the counts of short words that it has met (at most
-``MEMO`` of them) and sends only new words, unless plain, to the library.
+Other texts and chunks rest on the same boundary: their tokens are those of their words,
+so each worker keeps the counts of short words that it has met (at most
+``MEMO`` of them) and sends only new words, unless plain, to the library.  Chunks in which a
+special string may be are encoded by the library as they are.
 
 Defined cases: null text reads as empty (0 tokens); special strings in a text count as
 the library's default has them; rows repeat as given; an empty table gives an empty
@@ -60,6 +61,7 @@ MARKS = (
 PLAIN = re.compile(f"[{WS_CHARS}0-9{MARKS}{LETTERS}]+")
 #: White space too, which has no tokens, so that the pieces make up the text.
 PIECE = re.compile(f"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[{WS_CHARS}]+|[0-9]|[^{WS_CHARS}0-9{LETTERS}]+")
+RUN = re.compile(f"[{WS_CHARS}]+|[^{WS_CHARS}]+")
 #: The byte-level alphabet: printable bytes are themselves, the others follow U+0100.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_LEVEL = dict(zip(sorted(set(range(256)) - set(_PRINTED)), range(256, 512)))
@@ -137,7 +139,7 @@ def plain_counter(tok) -> Pieces:
     return Pieces(tok.model, known)
 
 
-def splices(tok, text: str, chunk: int = CHUNK, overlap: int = OVERLAP, pieces: Pieces | None = None) -> Iterator[tuple]:
+def splices(tok, text: str, chunk: int = CHUNK, overlap: int = OVERLAP, pieces: Pieces | Words | None = None) -> Iterator[tuple]:
     """The tokens of a text, from overlapping chunks: (encoding, its start, first token, token behind the last)."""
 
     def encode(a: int, b: int) -> tuple:
@@ -203,6 +205,31 @@ def word_counts(path: str, words: set[bytes]) -> dict[bytes, int]:
     return memo
 
 
+class Words:
+    """Encodes chunks by pieces if plain, by counts of words if no special string may be there."""
+
+    def __init__(self, path: str):
+        self.path, self.pieces = path, load(path)[2]
+
+    def encoded(self, text: str) -> Plain | None:
+        e = self.pieces.encoded(text)
+        if e is not None or "<|" in text:
+            return e
+        runs = RUN.findall(text)
+        words = [w.encode().lower() for w in runs]
+        new = {w for w in words if not w.isspace()}
+        memo = word_counts(self.path, new)
+        before = [0, *accumulate(0 if w.isspace() else memo[w] for w in words)]
+        drop_long(memo, new)
+        return Plain([0, *accumulate(map(len, runs))], before)
+
+
+def drop_long(memo: dict[bytes, int], words: set[bytes]) -> None:
+    for w in words:
+        if len(w) > KEPT:
+            del memo[w]
+
+
 def fold(text: bytes) -> list[bytes]:
     """Words; A-Z folded, as the normaliser does, unless a special string may be there."""
     return (text if b"<|" in text else text.lower()).split()
@@ -210,6 +237,7 @@ def fold(text: bytes) -> list[bytes]:
 
 def count(path: str, texts: list[bytes]) -> list[int]:
     tok, _, pieces = load(path)
+    by_words = Words(path)
     out: list[int | None] = [None] * len(texts)
     group: list[tuple[int, list[bytes]]] = []
     size = 0
@@ -219,15 +247,13 @@ def count(path: str, texts: list[bytes]) -> list[int]:
         memo = word_counts(path, words)
         for i, w in group:
             out[i] = sum(map(memo.__getitem__, w))
-        for w in words:
-            if len(w) > KEPT:
-                del memo[w]
+        drop_long(memo, words)
         group.clear()
 
     for i, t in enumerate(texts):
         s = t.decode()
         if len(s) > CHUNK:
-            out[i] = sum(end - first for *_, first, end in splices(tok, s, pieces=pieces))
+            out[i] = sum(end - first for *_, first, end in splices(tok, s, pieces=by_words))
             continue
         out[i] = pieces(s)
         if out[i] is None:

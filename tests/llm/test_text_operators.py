@@ -180,6 +180,22 @@ def test_texts_over_a_chunk_are_spliced(bpe, monkeypatch):
     assert max(map(len, pieces)) <= token_counts.KEPT
 
 
+def test_words_of_chunks_equal_library(bpe, monkeypatch):
+    """One odd character does not send its chunk to the library, only its word."""
+    tok, _, pieces = token_counts.load(bpe)
+    memo, r = {}, random.Random(9)
+    monkeypatch.setitem(token_counts._LOADED, bpe, (tok, memo, pieces))
+    words = token_counts.Words(bpe)
+    assert len(words.encoded("Plain words \U0001f600 and'll more")) == len(tok.encode("Plain words \U0001f600 and'll more", add_special_tokens=False).ids)
+    assert words.encoded("a <| b 日") is None and "\U0001f600".encode() in memo
+    kinds = ["a", "B'LL", " ", "  ", "\r\n", "ÉTÉ.", "x" * 50, "12", "日本", "\u0301", "<|endoftext|>", "<|", "\u3000", "\u00a0", "½", "ΑΣ", "\x1c", "\x85", "İ", "\U0001f600"]
+    for n in range(300):
+        s = "".join(r.choice(kinds if n % 2 else kinds[:10]) for _ in range(r.randint(0, 200)))
+        parts = token_counts.splices(tok, s, r.randint(5, 60), r.randint(1, 9), words)
+        assert sum(j - i for *_, i, j in parts) == len(tok.encode(s, add_special_tokens=False).ids), s
+    assert max(map(len, memo)) <= token_counts.KEPT
+
+
 def test_long_words_are_not_kept(bpe, monkeypatch):
     """Unspaced texts are words of up to a chunk, which would fill a worker's memory."""
     tok, _, pieces = token_counts.load(bpe)
